@@ -32,20 +32,26 @@ class Parsed(NamedTuple):
     rejects: DataFrame
 
 
-def _divide(
+def divide(
     df: DataFrame, faults: dict[str, Column], rows: list[Column], observation: Observation | None
 ) -> Parsed:
-    """Route each line by the first fault that holds (a NULL condition does not)."""
+    """Route each line by the first fault that holds (a NULL condition does not).
+
+    The fields leave through a one-element ``inline``. A filter on them cannot
+    be pushed below it, where the whole parse would be computed a second time to
+    decide which lines to keep.
+    """
     reason = F.lit(None).cast("string")
     for name, condition in reversed(faults.items()):
         reason = F.when(condition, F.lit(name)).otherwise(reason)
-    routed = df.withColumn("reason", reason)
+    routed = df.select("value", F.inline(F.array(F.struct(reason.alias("reason"), *rows))))
+    fields = [c for c in routed.columns if c not in ("value", "reason")]
     observed = routed
     if observation is not None:
         counters = [F.count_if(F.col("reason") == name).alias(name) for name in faults]
         observed = routed.observe(observation, F.count(F.lit(1)).alias("lines"), *counters)
     return Parsed(
-        observed.where(F.col("reason").isNull()).select(*rows),
+        observed.where(F.col("reason").isNull()).select(*fields),
         routed.where(F.col("reason").isNotNull()).select("value", "reason"),
     )
 
@@ -80,15 +86,14 @@ def parse_account_lines(
     def text_of(pair: Column) -> Column:
         return strip_outer_quotes(F.get(pair, F.lit(1)))
 
-    trimmed = trim_control(F.col("value"))
     pairs = F.transform(
-        split_all(trimmed, delimiter), lambda p: split_all(p, KEY_VALUE_SEPARATOR)
+        split_all(trim_control(F.col("value")), delimiter),
+        lambda p: split_all(p, KEY_VALUE_SEPARATOR),
     )
     keys = F.transform(F.col("pairs"), lambda p: F.get(p, F.lit(0)))
     pels = F.filter(F.transform(F.col("pairs"), text_of), is_pel)
     fields = (
-        lines.select("value", trimmed.alias("trimmed"))
-        .where(F.col("trimmed") != "")
+        lines.where(F.col("value").rlike("[^\\x00-\\x20]"))
         .select("value", pairs.alias("pairs"))
         .select(
             "value",
@@ -108,7 +113,7 @@ def parse_account_lines(
                 F.col("cid")
             ),
         )
-    return _divide(
+    return divide(
         fields,
         {
             "malformed_pair": F.col("malformed"),
@@ -149,7 +154,7 @@ def parse_columns(
     )
     faults = {"open_quote": F.col("open_quote")}
     faults.update({f"blank_{name}": is_blank(F.col(name)) for name in required})
-    return _divide(named, faults, [F.col(name) for name in columns], observation)
+    return divide(named, faults, [F.col(name) for name in columns], observation)
 
 
 def parse_pairs(
@@ -170,7 +175,7 @@ def parse_pairs(
     faults = {"width": F.size("fields") != 2}
     if not allow_blank:
         faults["blank_field"] = (field(0) == "") | (field(1) == "")
-    return _divide(fields, faults, [field(0).alias("key"), field(1).alias("value_")], observation)
+    return divide(fields, faults, [field(0).alias("key"), field(1).alias("value_")], observation)
 
 
 def parse_one_to_many(
@@ -183,7 +188,7 @@ def parse_one_to_many(
     tokens = F.filter(split_all(F.col("value"), delimiter), lambda t: t != "")
     fields = lines.select("value", tokens.alias("fields"))
     values = F.slice(F.col("fields"), F.lit(2), F.greatest(F.size("fields") - 1, F.lit(0)))
-    parsed = _divide(
+    parsed = divide(
         fields,
         {"no_value": F.size("fields") < 2},
         [_element("fields", 0).alias("key"), values.alias("values")],
@@ -195,7 +200,7 @@ def parse_one_to_many(
 def parse_id_hash(lines: DataFrame, *, observation: Observation | None = None) -> Parsed:
     """Lines of exactly two words -> ``id, hash``."""
     fields = lines.select("value", F.split(trim_control(F.col("value")), "\\s+", -1).alias("fields"))
-    return _divide(
+    return divide(
         fields,
         {"width": F.size("fields") != 2},
         [_element("fields", 0).alias("id"), _element("fields", 1).alias("hash")],
@@ -215,16 +220,18 @@ def parse_hashes_by_length(
     The first hash of each length counts; a missing kind is NULL.
     """
     split = split_quoted(F.col("value"), delimiter) if quoted else split_all(F.col("value"), delimiter)
-    fields = lines.select("value", split.alias("fields"))
     rest = F.transform(
         F.slice(F.col("fields"), F.lit(2), F.greatest(F.size("fields") - 1, F.lit(0))),
         trim_control,
     )
-    return _divide(
+    fields = lines.select("value", split.alias("fields")).select(
+        "value", "fields", rest.alias("rest")
+    )
+    return divide(
         fields,
         {"open_quote": F.col("fields").isNull(), "width": F.size("fields") < 2},
         [_element("fields", 0).alias("key")]
-        + [hashed.alias(kind) for kind, hashed in hashes_by_length(rest).items()],
+        + [hashed.alias(kind) for kind, hashed in hashes_by_length(F.col("rest")).items()],
         observation,
     )
 
@@ -251,7 +258,7 @@ def parse_identity_records(
             for kind in ("MD5", "SHA1", "SHA256")
         ]
     )
-    parsed = _divide(
+    parsed = divide(
         fields,
         {"width": F.size("fields") <= max(positions.values())},
         [_element("fields", clink).alias("clink"), hashes.alias("hashes")],
@@ -283,7 +290,7 @@ def parse_arl_pel(lines: DataFrame, *, observation: Observation | None = None) -
         _element("fields", 0).alias("arl"),
         _element("fields", 1).alias("pel"),
     )
-    return _divide(
+    return divide(
         fields,
         {
             "width": F.col("width") != 2,

@@ -22,9 +22,14 @@ def salted_join(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(how)
-    salted = keys.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    if salts < 1 or salts & (salts - 1):
+        raise ValueError("salts must be a power of two")
+    last = F.lit(salts - 1).cast("bigint")
+    salted = keys.withColumn(_SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     return (
-        rows.withColumn(_SALT, F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+        # A bit mask is never NULL, so no join type adds a filter below the shuffle
+        # and joins of the same rows share it.
+        rows.withColumn(_SALT, F.xxhash64(spread_by).bitwiseAND(last))
         .join(salted, [key, _SALT], how)
         .drop(_SALT)
     )
@@ -36,14 +41,14 @@ class BySize(NamedTuple):
 
 
 def split_by_group_size(
-    rows: DataFrame, key: str, limit: int, *, spread_by: Column, salts: int = 32
+    rows: DataFrame, key: str, size: Column, limit: int, *, spread_by: Column, salts: int = 32
 ) -> BySize:
-    """Separate the rows of groups with at most ``limit`` rows from the rest.
+    """Separate the rows of groups whose aggregate ``size`` is at most ``limit`` from the rest.
 
     Sizes are counted with partial aggregation and only the keys above the limit
     are joined back, so no group is ever gathered to learn its size.
     """
-    big = rows.groupBy(key).count().where(F.col("count") > limit).select(key)
+    big = rows.groupBy(key).agg(size.alias("size")).where(F.col("size") > limit).select(key)
     return BySize(
         salted_join(rows, big, key, spread_by=spread_by, salts=salts, how="left_anti"),
         salted_join(rows, big, key, spread_by=spread_by, salts=salts, how="left_semi"),

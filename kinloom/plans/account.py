@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from kinloom.fixed import PEL_FAMILY, PEL_QUALIFIER, PREFERRED_PEL_KEY, ROW_KEY_SEPARATOR
 from kinloom.functions.identity import AccountArlFn
-from kinloom.operators.cells import apply_mutations, latest, load_time, to_cells
+from kinloom.operators.cells import apply_mutations, latest, load_time, replace_rows, to_cells
 from kinloom.operators.parse import parse_account_lines
 
 
@@ -142,6 +142,6 @@ def account_refresh_full(
     )
     return AccountTables(
         kept.unionByName(new_diff),
-        apply_mutations(arl, _puts(parsed.rows, arl_fn(account, F.col("cid")), ts), stale),
+        replace_rows(arl, _puts(parsed.rows, arl_fn(account, F.col("cid")), ts), stale),
         parsed.rejects,
     )

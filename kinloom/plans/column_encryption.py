@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kinloom.fixed import ENCRYPTED_HEADER
 from kinloom.functions.identity import PelFn, is_clink, is_pel, same_pel
 from kinloom.functions.text import is_blank, split_all
-from kinloom.operators.parse import Parsed, _divide
+from kinloom.operators.parse import Parsed, divide
 
 HEADER_COLUMNS = ENCRYPTED_HEADER.split(",")
 
@@ -37,7 +37,7 @@ def encrypt_fields(
         F.slice(fields, F.lit(2), F.size(fields) - 1),
         lambda x: F.when(is_blank(x), F.lit("")).otherwise(encrypt(x)),
     )
-    return _divide(
+    return divide(
         lines.select("value", split_all(F.col("value"), delimiter).alias("fields")),
         {"invalid_id": ~valid(first)},
         [F.concat(F.array(translate(first)), rest).alias("fields")],

@@ -125,23 +125,31 @@ def match_lookup(
     Every request yields one row, with blanks where nothing was found. A blank
     id finds nothing unless ``blank_matches_all``.
     """
-    requests = parse_requests(lines, delimiter=delimiter).rows
-    asked = F.col("pel") if blank_matches_all else F.when(F.col("pel") != "", F.col("pel"))
-    requests = requests.select("cookie", asked.alias("prefix"))
+    requests = parse_requests(lines, delimiter=delimiter).rows.select(
+        "cookie",
+        F.col("pel").alias("prefix"),
+        (F.lit(blank_matches_all) | (F.col("pel") != "")).alias("asked"),
+    )
 
     def filed_as(name: str) -> Column:
         return (F.col("family") == family) & (F.col("qualifier") == name)
 
     found = last_row_by_prefix(
         table,
-        requests.select("prefix").where(F.col("prefix").isNotNull()),
+        requests.where(F.col("asked")).select("prefix"),
         {name: filed_as(name) for name in HASH_COLUMNS},
     )
     filed = F.array(*[F.col(name) for name in HASH_COLUMNS])
     repaired = found.select(
-        "prefix", *[hashed.alias(name) for name, hashed in hashes_by_length(filed).items()]
+        "prefix",
+        F.lit(True).alias("asked"),
+        *[hashed.alias(name) for name, hashed in hashes_by_length(filed).items()],
+    )
+    # Requests that ask for nothing are spread by cookie instead of meeting under one key.
+    spread = requests.withColumn(
+        "prefix", F.when(F.col("asked"), F.col("prefix")).otherwise(F.col("cookie"))
     )
-    return requests.join(repaired, "prefix", "left").select(
+    return spread.join(repaired, ["prefix", "asked"], "left").select(
         "cookie", *[F.coalesce(name, F.lit("")).alias(name) for name in HASH_COLUMNS]
     )
 
