@@ -11,8 +11,7 @@ from catalog.feeds import ACCOUNT, REGION, SALT, feed_sql, tables_of
 from kinloom.fixed import ENCRYPTED_HEADER, HASH_FAMILY, MATCH_HEADER
 from kinloom.functions.hashes import hash_fault, hashes_by_length
 from kinloom.functions.identity import (
-    field_cipher,
-    field_decipher,
+    decrypt_field,
     is_clink,
     is_pel,
     salted_account_arl,
@@ -371,7 +370,7 @@ def published_snapshot(spark, sf):
     """Two versions published one after the other; readers see the second."""
     root = scratch_dir(spark, "snapshot")
     before = _accounts(spark, sf).diff
-    publish_snapshot(before, root)
+    publish_snapshot(before, root, by_key=True)
     loaded = account_load_incremental(
         feed(spark, sf, "account_lines"), open_snapshot(spark, root), None, **ACCOUNT_OPTIONS
     )
@@ -514,19 +513,18 @@ def text_rules(spark, sf):
 
 def _encrypted(function, spark, sf):
     return function(
-        feed(spark, sf, "person_lines"), encrypt=field_cipher(KEY), pel_fn=salted_pel(SALT)
+        feed(spark, sf, "person_lines"), key=KEY, pel_fn=salted_pel(SALT)
     )
 
 
 @query
 def encrypt_round_trip(spark, sf):
     """The fourteen columns; all but the id are decrypted again."""
-    decrypt = field_decipher(KEY)
     rows = _encrypted(encrypt_columns, spark, sf).rows
     return rows.select(
         F.col("PEL").alias("pel"),
         *[
-            F.when(F.col(c) == "", F.lit("")).otherwise(decrypt(F.col(c))).alias(c.lower())
+            F.when(F.col(c) == "", F.lit("")).otherwise(decrypt_field(F.col(c), KEY)).alias(c.lower())
             for c in HEADER_COLUMNS[1:]
         ],
     )
@@ -543,11 +541,10 @@ def encrypted_file(spark, sf):
     path = scratch_dir(spark, "encrypted")
     lines = encrypted_lines(_encrypted(encrypt_fields, spark, sf).rows)
     write_lines(lines, path, header=ENCRYPTED_HEADER)
-    decrypt = field_decipher(KEY)
     fields = F.split("value", ",", -1)
     rest = F.transform(
         F.slice(fields, F.lit(2), F.size(fields) - 1),
-        lambda x: F.when(x == "", F.lit("")).otherwise(decrypt(x)),
+        lambda x: F.when(x == "", F.lit("")).otherwise(decrypt_field(x, KEY)),
     )
     back = read_lines(spark, path).where(F.col("value") != ENCRYPTED_HEADER)
     return back.select(F.array_join(F.concat(F.array(F.get(fields, F.lit(0))), rest), ",").alias("value"))

@@ -145,7 +145,7 @@ def _account(spark, args, job, **options):
     # The keys to delete come from diff, so it is published last: a run that is
     # repeated after a failure in between still finds them.
     publish_snapshot(loaded.arl, args.arl)
-    publish_snapshot(loaded.diff, args.diff)
+    publish_snapshot(loaded.diff, args.diff, by_key=True)
     _save_rejects(loaded.rejects, args)
 
 
@@ -160,7 +160,7 @@ def account_refresh(spark, args):
 def encrypt(spark, args):
     encrypted = encrypt_fields(
         _lines(spark, args, args.input),
-        encrypt=identity.field_cipher(_secret(spark, args, "key")),
+        key=_secret(spark, args, "key"),
         pel_fn=identity.salted_pel(_secret(spark, args, "salt")),
         translate_clink=not args.pass_ids_through,
     )
@@ -193,7 +193,7 @@ def expand(spark, args):
         load_ts=args.load_ts,
         pair_limit=args.pair_limit,
     )
-    publish_snapshot(expanded.table, args.table)
+    publish_snapshot(expanded.table, args.table, by_key=True)
     _save_rejects(expanded.rejects, args)
 
 

@@ -17,11 +17,12 @@ from kinloom.fixed import CLINK_LENGTH, CLINK_PREFIXES, PEL_PREFIXES
 
 PelFn = Callable[[Column], Column]
 HashArlFn = Callable[[Column, Column], Column]
+Cipher = Callable[[Column, Column], Column]
 AccountArlFn = Callable[[Column, Column], Column]
 Secret = str | Column
 
 
-def _col(value: Secret) -> Column:
+def as_column(value: Secret) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
 
@@ -46,7 +47,7 @@ def salted_pel(salt: Secret) -> PelFn:
     """Person key -> pseudonymous id."""
 
     def translate(clink: Column) -> Column:
-        digest = F.sha2(F.concat(_col(salt), F.lit("|pel|"), clink), 256)
+        digest = F.sha2(F.concat(as_column(salt), F.lit("|pel|"), clink), 256)
         return F.concat(F.lit("Xi"), F.substring(digest, 1, 32))
 
     return translate
@@ -57,7 +58,7 @@ def salted_hash_arl(salt: Secret) -> HashArlFn:
 
     def translate(hashed: Column, kind: Column) -> Column:
         return F.unhex(
-            F.sha2(F.concat(_col(salt), F.lit("|"), kind, F.lit("|"), F.lower(hashed)), 256)
+            F.sha2(F.concat(as_column(salt), F.lit("|"), kind, F.lit("|"), F.lower(hashed)), 256)
         )
 
     return translate
@@ -69,7 +70,7 @@ def salted_account_arl(salt: Secret) -> AccountArlFn:
     def translate(ana: Column, cid: Column) -> Column:
         return F.unhex(
             F.sha2(
-                F.concat(_col(salt), F.lit("|cid|"), ana.cast("string"), F.lit("#"), cid), 256
+                F.concat(as_column(salt), F.lit("|cid|"), ana.cast("string"), F.lit("#"), cid), 256
             )
         )
 
@@ -86,26 +87,18 @@ def decoded_hash_arl(hashed: Column, kind: Column) -> Column:
     return F.unhex(hashed)
 
 
-def field_cipher(key: Secret) -> Callable[[Column], Column]:
+def encrypt_field(text: Column, key: Secret) -> Column:
     """Deterministic AES-CBC as base64: equal inputs give equal outputs.
 
-    The initial vector is derived from key and value. The key has 16, 24 or 32
+    The initial vector is derived from key and text. The key has 16, 24 or 32
     bytes.
     """
+    iv = F.unhex(F.substring(F.sha2(F.concat(as_column(key), text), 256), 1, 32))
+    return F.base64(F.aes_encrypt(text, as_column(key), F.lit("CBC"), F.lit("PKCS"), iv))
 
-    def encrypt(text: Column) -> Column:
-        iv = F.unhex(F.substring(F.sha2(F.concat(_col(key), text), 256), 1, 32))
-        return F.base64(F.aes_encrypt(text, _col(key), F.lit("CBC"), F.lit("PKCS"), iv))
 
-    return encrypt
-
-
-def field_decipher(key: Secret) -> Callable[[Column], Column]:
-    """Inverse of ``field_cipher``; NULL where the text cannot be decrypted."""
-
-    def decrypt(text: Column) -> Column:
-        return F.try_aes_decrypt(
-            F.unbase64(text), _col(key), F.lit("CBC"), F.lit("PKCS")
-        ).cast("string")
-
-    return decrypt
+def decrypt_field(text: Column, key: Secret) -> Column:
+    """Inverse of ``encrypt_field``; NULL where the text cannot be decrypted."""
+    return F.try_aes_decrypt(
+        F.try_to_binary(text, F.lit("base64")), as_column(key), F.lit("CBC"), F.lit("PKCS")
+    ).cast("string")

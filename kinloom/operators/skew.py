@@ -17,8 +17,10 @@ def salted_join(
 
     ``keys`` is the smaller side. It is repeated once per salt, and each row
     takes the salt of ``spread_by``, so the rows of one key go to ``salts``
-    partitions. The join is not partitioned by the key alone, so adaptive
-    execution is free to split those further or to broadcast a small key list.
+    partitions. Adaptive execution splits those further: it does so only where
+    both inputs of a join come straight from a shuffle that nothing above relies
+    on. A join with the result of an aggregation by the same key is not like
+    that, one with a salt is. It may also broadcast a key list it has measured.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(how)

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kinloom.fixed import ENCRYPTED_HEADER
-from kinloom.functions.identity import PelFn, is_clink, is_pel, same_pel
+from kinloom.functions.identity import (
+    Cipher,
+    PelFn,
+    Secret,
+    as_column,
+    encrypt_field,
+    is_clink,
+    is_pel,
+    same_pel,
+)
 from kinloom.functions.text import is_blank, split_all
 from kinloom.operators.parse import Parsed, divide
 
@@ -18,8 +25,9 @@ HEADER_COLUMNS = ENCRYPTED_HEADER.split(",")
 def encrypt_fields(
     lines: DataFrame,
     *,
-    encrypt: Callable[[Column], Column],
+    key: Secret,
     pel_fn: PelFn,
+    cipher: Cipher = encrypt_field,
     translate_clink: bool = True,
     delimiter: str = ",",
     observation: Observation | None = None,
@@ -35,10 +43,13 @@ def encrypt_fields(
     first = F.get(fields, F.lit(0))
     rest = F.transform(
         F.slice(fields, F.lit(2), F.size(fields) - 1),
-        lambda x: F.when(is_blank(x), F.lit("")).otherwise(encrypt(x)),
+        lambda x: F.when(is_blank(x), F.lit("")).otherwise(cipher(x, F.col("key"))),
     )
     return divide(
-        lines.select("value", split_all(F.col("value"), delimiter).alias("fields")),
+        # The key is a column first: it may be a subquery, which a lambda cannot hold.
+        lines.select(
+            "value", split_all(F.col("value"), delimiter).alias("fields"), as_column(key).alias("key")
+        ),
         {"invalid_id": ~valid(first)},
         [F.concat(F.array(translate(first)), rest).alias("fields")],
         observation,
@@ -53,8 +64,9 @@ def encrypted_lines(rows: DataFrame, *, delimiter: str = ",") -> DataFrame:
 def encrypt_columns(
     lines: DataFrame,
     *,
-    encrypt: Callable[[Column], Column],
+    key: Secret,
     pel_fn: PelFn,
+    cipher: Cipher = encrypt_field,
     translate_clink: bool = True,
     observation: Observation | None = None,
 ) -> Parsed:
@@ -65,8 +77,9 @@ def encrypt_columns(
     """
     encrypted = encrypt_fields(
         lines,
-        encrypt=encrypt,
+        key=key,
         pel_fn=pel_fn,
+        cipher=cipher,
         translate_clink=translate_clink,
         observation=observation,
     )

@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinloom.functions.identity import Secret, _col
+from kinloom.functions.identity import Secret, as_column
 from kinloom.operators.skew import salted_join
 
 # Content and its decoded text must each fit one JVM array.
@@ -44,7 +44,7 @@ def decrypt_files(
     blocks and read by ``decrypt_blocks``.
     """
     readable = files.where(F.col("length") <= max_bytes)
-    plain = readable.select("path", F.try_aes_decrypt(F.col("content"), _col(key)).alias("plain"))
+    plain = readable.select("path", F.try_aes_decrypt(F.col("content"), as_column(key)).alias("plain"))
     lines = plain.where(F.col("plain").isNotNull()).select(
         "path", F.posexplode(split_lines(_text(F.col("plain"), charset))).alias("line_no", "value")
     )
@@ -67,7 +67,7 @@ def decrypt_blocks(blocks: DataFrame, *, key: Secret, charset: str = "UTF-8") ->
     plain = blocks.select(
         "path",
         F.col("value").alias("block"),
-        F.try_aes_decrypt(F.try_to_binary(F.col("value"), F.lit("base64")), _col(key)).alias("plain"),
+        F.try_aes_decrypt(F.try_to_binary(F.col("value"), F.lit("base64")), as_column(key)).alias("plain"),
     )
     failed = plain.where(F.col("plain").isNull()).select("path").distinct()
     whole = salted_join(

@@ -17,6 +17,7 @@ from kinloom.operators.parse import (
     parse_hashes_by_length,
     parse_pairs,
 )
+from kinloom.operators.skew import salted_join
 from kinloom.plans.hash_mapping import Loaded
 from kinloom.sources.sinks import join_fields
 
@@ -48,14 +49,14 @@ def load_match_table_join(
     family: str = HASH_FAMILY,
     delimiter: str = "|",
     quoted: bool = True,
+    salts: int = 8,
 ) -> Loaded:
     """Load the knowledge-base records whose sha256 the provider also lists.
 
     A match only decides whether a record is loaded, so this is a semi-join
     against the distinct provider hashes: repeated hashes do not multiply rows.
-    A hash carried by a large share of the records makes a skewed left side,
-    which adaptive execution splits; the upsert after it shuffles by another
-    key, so the split costs nothing extra.
+    One hash may be carried by a large share of the records, so the join is
+    salted.
     """
     provider = parse_columns(
         provider_lines,
@@ -71,7 +72,14 @@ def load_match_table_join(
         delimiter=delimiter,
         quoted=quoted,
     )
-    matched = kb.rows.join(provider.rows.distinct(), "sha256", "left_semi")
+    matched = salted_join(
+        kb.rows,
+        provider.rows.distinct(),
+        "sha256",
+        spread_by=F.col("clink"),
+        how="left_semi",
+        salts=salts,
+    )
     rows = matched.select(pel_fn(F.col("clink")).alias("pel"), *HASH_COLUMNS)
     return Loaded(
         apply_mutations(table, hash_cells(rows, family=family)),
@@ -117,6 +125,7 @@ def match_lookup(
     delimiter: str = ",",
     family: str = HASH_FAMILY,
     blank_matches_all: bool = False,
+    salts: int = 8,
 ) -> DataFrame:
     """``cookie,pel`` lines -> ``cookie, md5, sha1, sha256``.
 
@@ -125,33 +134,26 @@ def match_lookup(
     Every request yields one row, with blanks where nothing was found. A blank
     id finds nothing unless ``blank_matches_all``.
     """
+    asked = F.col("pel") if blank_matches_all else F.when(F.col("pel") != "", F.col("pel"))
     requests = parse_requests(lines, delimiter=delimiter).rows.select(
-        "cookie",
-        F.col("pel").alias("prefix"),
-        (F.lit(blank_matches_all) | (F.col("pel") != "")).alias("asked"),
+        "cookie", asked.alias("prefix")
     )
+    prefixes = requests.select("prefix").where(F.col("prefix").isNotNull()).distinct()
 
     def filed_as(name: str) -> Column:
         return (F.col("family") == family) & (F.col("qualifier") == name)
 
-    found = last_row_by_prefix(
-        table,
-        requests.where(F.col("asked")).select("prefix"),
-        {name: filed_as(name) for name in HASH_COLUMNS},
-    )
+    found = last_row_by_prefix(table, prefixes, {name: filed_as(name) for name in HASH_COLUMNS})
     filed = F.array(*[F.col(name) for name in HASH_COLUMNS])
-    repaired = found.select(
-        "prefix",
-        F.lit(True).alias("asked"),
-        *[hashed.alias(name) for name, hashed in hashes_by_length(filed).items()],
-    )
-    # Requests that ask for nothing are spread by cookie instead of meeting under one key.
-    spread = requests.withColumn(
-        "prefix", F.when(F.col("asked"), F.col("prefix")).otherwise(F.col("cookie"))
-    )
-    return spread.join(repaired, ["prefix", "asked"], "left").select(
-        "cookie", *[F.coalesce(name, F.lit("")).alias(name) for name in HASH_COLUMNS]
+    # Both sides are hashed by prefix already, so this costs no shuffle and leaves
+    # at most one row per id asked for.
+    repaired = found.join(prefixes, "prefix", "left_semi").select(
+        "prefix", *[hashed.alias(name) for name, hashed in hashes_by_length(filed).items()]
     )
+    # One id, or no id, may be asked for by a large share of the requests.
+    return salted_join(
+        requests, repaired, "prefix", spread_by=F.col("cookie"), how="left", salts=salts
+    ).select("cookie", *[F.coalesce(name, F.lit("")).alias(name) for name in HASH_COLUMNS])
 
 
 def match_lines(matches: DataFrame) -> DataFrame:

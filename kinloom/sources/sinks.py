@@ -18,7 +18,8 @@ def write_lines(
 
     By default every task writes its own file. ``single_file`` sends the
     finished lines to one writer through a shuffle, so the work before it keeps
-    its parallelism; use it only for small deliveries.
+    its parallelism; use it only for small deliveries. Under a header a line
+    must not be empty, as delimited records never are.
     """
     out = lines.select("value")
     if single_file:

@@ -45,13 +45,14 @@ def open_snapshot(spark: SparkSession, root: str, version: int | None = None) ->
     return spark.read.parquet(f"{root}/{path}")
 
 
-def publish_snapshot(cells: DataFrame, root: str, *, by_key: bool = True) -> int:
+def publish_snapshot(cells: DataFrame, root: str, *, by_key: bool = False) -> int:
     """Write ``cells`` as the next version, then log it.
 
-    ``by_key`` range-partitions by the full cell address and sorts, so that a
-    prefix scan prunes files and row groups by their key statistics; the full
-    address also splits a row that holds very many cells. Without it the
-    partitioning of the plan is written as it is.
+    By default the partitioning of the plan is written as it is. ``by_key`` adds
+    a range shuffle by the full cell address and sorts, so that a prefix scan
+    prunes files and row groups by their key statistics; the full address also
+    splits a row that holds very many cells. It pays for tables that are scanned
+    by prefix.
     """
     spark = cells.sparkSession
     version = current_version(spark, root) + 1
