@@ -210,9 +210,9 @@ ORACLES: dict[str, str] = {
         SELECT reason, count(*) AS n FROM rejects GROUP BY reason
         UNION ALL SELECT 'success', count(*) FROM mapping""",
     "two_way_forward": f"""WITH {_LINKS}
-        SELECT DISTINCT key AS row_key, 'ukrema' AS family, linked AS qualifier, 2000::BIGINT AS ts_micros, '' AS value FROM links""",
+        SELECT DISTINCT key AS row_key, 'links' AS family, linked AS qualifier, 2000::BIGINT AS ts_micros, '' AS value FROM links""",
     "two_way_reverse": f"""WITH {_LINKS}
-        SELECT DISTINCT linked AS row_key, 'ukrema' AS family, key AS qualifier, 2000::BIGINT AS ts_micros, '' AS value FROM links""",
+        SELECT DISTINCT linked AS row_key, 'links' AS family, key AS qualifier, 2000::BIGINT AS ts_micros, '' AS value FROM links""",
     "one_to_many_rows": f"WITH {_LINKS} SELECT key, linked FROM links",
     "pii_expansion": f"""WITH {_PEOPLE}, {_SIZES},
         listed AS (SELECT o.*, count(*) OVER (PARTITION BY id, hash) AS kinds

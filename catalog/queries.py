@@ -89,8 +89,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute a scan that has fewer splits than the session has cores.
+
+    A small table is one row group and would be read, hashed and parsed by one
+    task. A scan with enough splits is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def feed(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    tables = {t: table(spark, sf, t) for t in tables_of(name)}
+    tables = {t: spread(table(spark, sf, t)) for t in tables_of(name)}
     return spark.sql(feed_sql(name, "spark"), **tables)
 
 
@@ -165,7 +175,7 @@ def hash_check_counters(spark, sf):
 
 def _two_way(spark, sf):
     return load_two_way(
-        feed(spark, sf, "two_way_lines"), None, None, family="ukrema", load_ts=NEW_TS
+        feed(spark, sf, "two_way_lines"), None, None, family="links", load_ts=NEW_TS
     )
 
 
@@ -224,7 +234,9 @@ def pii_expansion_lookup(spark, sf):
         )
 
     keys = smallest("email", "e", 4).unionByName(smallest("phone", "p", 6))
-    return linked_hashes(_expansion(spark, sf).table, keys, region=REGION)
+    root = scratch_dir(spark, "expansion")
+    publish_snapshot(_expansion(spark, sf).table, root)
+    return linked_hashes(open_snapshot(spark, root), keys, region=REGION)
 
 
 @query
@@ -313,9 +325,9 @@ def match_lookup_blank_matches_all(spark, sf):
 
 @query
 def match_delivery_file(spark, sf):
-    """The lookup written as a file with a header and read back."""
+    """The lookup written as files with a header and read back."""
     path = scratch_dir(spark, "delivery")
-    write_lines(match_lines(_lookup(spark, sf)), path, header=MATCH_HEADER, single_file=True)
+    write_lines(match_lines(_lookup(spark, sf)), path, header=MATCH_HEADER)
     back = spark.read.option("sep", "|").option("header", True).option("quote", "").csv(path)
     return back.select(*[F.coalesce(c, F.lit("")).alias(c) for c in MATCH_HEADER.split("|")])
 
@@ -599,7 +611,8 @@ def compressed_text_scan(spark, sf):
 def binary_file_scan(spark, sf):
     """Text files written by Spark, read back as whole files and split into lines."""
     path = scratch_dir(spark, "files")
-    write_lines(feed(spark, sf, "identity_lines"), path)
+    # A file becomes one row when read whole, so files are kept small.
+    feed(spark, sf, "identity_lines").write.option("maxRecordsPerFile", 500_000).text(path)
     files = read_files(spark, f"{path}/part-*")
     return files.select(F.explode(split_lines(F.col("content").cast("string"))).alias("value"))
 
