@@ -565,7 +565,7 @@ def encrypted_file(spark, sf):
 def _sealed(spark, sf, broken):
     text = F.col("text").cast("binary")
     sealed = F.when(broken, text).otherwise(F.aes_encrypt(text, F.lit(KEY)))
-    return table(spark, sf, "documents").withColumn("content", sealed)
+    return spread(table(spark, sf, "documents")).withColumn("content", sealed)
 
 
 @query

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinloom.functions.identity import Secret, as_column
@@ -21,10 +21,20 @@ class Decrypted(NamedTuple):
 
 def split_lines(text: Column) -> Column:
     """Lines of a text; the end of the last line does not start another."""
-    body = F.regexp_replace(text, "(?:\r\n|\n|\r)\\z", "")
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(
-        F.split(body, "\r\n|\n|\r", -1)
+    lines = F.split(
+        F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")), "\n", -1
     )
+    ended = text.endswith("\n") | text.endswith("\r") | (text == "")
+    return F.slice(lines, F.lit(1), F.size(lines) - ended.cast("int"))
+
+
+def _opened(df: DataFrame, sealed: Column, key: Secret, charset: str) -> DataFrame:
+    """Add ``text``, NULL where ``sealed`` cannot be decrypted.
+
+    It leaves through ``inline`` so that a filter on it does not decrypt twice.
+    """
+    text = _text(F.try_aes_decrypt(sealed, as_column(key)), charset)
+    return df.select("*", F.inline(F.array(F.struct(text.alias("text")))))
 
 
 def _text(plain: Column, charset: str) -> Column:
@@ -44,11 +54,11 @@ def decrypt_files(
     blocks and read by ``decrypt_blocks``.
     """
     readable = files.where(F.col("length") <= max_bytes)
-    plain = readable.select("path", F.try_aes_decrypt(F.col("content"), as_column(key)).alias("plain"))
-    lines = plain.where(F.col("plain").isNotNull()).select(
-        "path", F.posexplode(split_lines(_text(F.col("plain"), charset))).alias("line_no", "value")
+    opened = _opened(readable, F.col("content"), key, charset)
+    lines = opened.where(F.col("text").isNotNull()).select(
+        "path", F.posexplode(split_lines(F.col("text"))).alias("line_no", "value")
     )
-    failed = plain.where(F.col("plain").isNull()).select(
+    failed = opened.where(F.col("text").isNull()).select(
         "path", F.lit("decrypt_failed").alias("reason")
     )
     too_large = files.where(F.col("length") > max_bytes).select(
@@ -64,23 +74,19 @@ def decrypt_blocks(blocks: DataFrame, *, key: Secret, charset: str = "UTF-8") ->
     with a broken block is left out as a whole. The blocks of one file may be a
     large share of the data, hence the salted anti-join with the failed paths.
     """
-    plain = blocks.select(
-        "path",
-        F.col("value").alias("block"),
-        F.try_aes_decrypt(F.try_to_binary(F.col("value"), F.lit("base64")), as_column(key)).alias("plain"),
-    )
-    failed = plain.where(F.col("plain").isNull()).select("path").distinct()
+    opened = _opened(blocks, F.try_to_binary(F.col("value"), F.lit("base64")), key, charset)
+    failed = opened.where(F.col("text").isNull()).select("path").distinct()
     whole = salted_join(
-        plain.where(F.col("plain").isNotNull()),
+        opened.where(F.col("text").isNotNull()),
         failed,
         "path",
-        spread_by=F.col("block"),
+        spread_by=F.col("value"),
         how="left_anti",
     )
-    lines = whole.select("path", F.explode(split_lines(_text(F.col("plain"), charset))).alias("value"))
+    lines = whole.select("path", F.explode(split_lines(F.col("text"))).alias("value"))
     return Decrypted(lines, failed.select("path", F.lit("decrypt_failed").alias("reason")))
 
 
-def read_blocks(spark, *paths: str) -> DataFrame:
+def read_blocks(spark: SparkSession, *paths: str) -> DataFrame:
     """Block files as ``path, value``."""
     return spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), "value")
