@@ -1,7 +1,8 @@
 """Run a job: spark-submit ... kinloom/__main__.py <job> [options], or python -m kinloom.
 
 Tables are folders of snapshots (see ``sources.snapshots``); a job reads the
-newest version, if there is one, and publishes the next. Salts and keys come
+newest version, if there is one, and publishes the next. With --append a load
+writes only the cells that came in and adds them to the table. Salts and keys come
 from a JSON file of ``{"name": ..., "value": ...}`` lines, so they appear neither
 on the command line nor in plans.
 """
@@ -30,11 +31,23 @@ from kinloom.plans.two_way import load_two_way
 from kinloom.session import session
 from kinloom.sources.lines import read_files, read_lines
 from kinloom.sources.sinks import write_lines
-from kinloom.sources.snapshots import current_version, open_snapshot, publish_snapshot
+from kinloom.sources.snapshots import (
+    append_snapshot,
+    current_version,
+    open_snapshot,
+    publish_snapshot,
+)
+
 
+def _table(spark: SparkSession, args: argparse.Namespace, root: str) -> DataFrame | None:
+    if args.append or not current_version(spark, root):
+        return None
+    return open_snapshot(spark, root)
 
-def _table(spark: SparkSession, root: str) -> DataFrame | None:
-    return open_snapshot(spark, root) if current_version(spark, root) else None
+
+def _publish(cells: DataFrame, args: argparse.Namespace, root: str, *, by_key: bool = False):
+    publish = append_snapshot if args.append else publish_snapshot
+    publish(cells, root, by_key=by_key)
 
 
 def _lines(spark: SparkSession, args: argparse.Namespace, path: str) -> DataFrame:
@@ -67,23 +80,23 @@ def build_mapping(spark, args):
 
 def load_mapping(spark, args):
     loaded = load_arl_pel(
-        _lines(spark, args, args.input), _table(spark, args.table), family=args.family
+        _lines(spark, args, args.input), _table(spark, args, args.table), family=args.family
     )
-    publish_snapshot(loaded.table, args.table)
+    _publish(loaded.table, args, args.table)
     _save_rejects(loaded.rejects, args)
 
 
 def load_links(spark, args):
     loaded = load_two_way(
         _lines(spark, args, args.input),
-        _table(spark, args.forward),
-        _table(spark, args.reverse),
+        _table(spark, args, args.forward),
+        _table(spark, args, args.reverse),
         family=args.family,
         delimiter=args.delimiter,
         load_ts=args.load_ts,
     )
-    publish_snapshot(loaded.forward, args.forward)
-    publish_snapshot(loaded.reverse, args.reverse)
+    _publish(loaded.forward, args, args.forward)
+    _publish(loaded.reverse, args, args.reverse)
     _save_rejects(loaded.rejects, args)
 
 
@@ -91,7 +104,7 @@ def load_matches_join(spark, args):
     loaded = load_match_table_join(
         _lines(spark, args, args.provider),
         _lines(spark, args, args.input),
-        _table(spark, args.table),
+        _table(spark, args, args.table),
         provider_sha256=args.provider_index,
         kb_clink=args.clink_index,
         kb_md5=args.md5_index,
@@ -101,26 +114,26 @@ def load_matches_join(spark, args):
         family=args.family,
         delimiter=args.delimiter,
     )
-    publish_snapshot(loaded.table, args.table)
+    _publish(loaded.table, args, args.table)
     _save_rejects(loaded.rejects, args)
 
 
 def load_matches_by_length(spark, args):
     loaded = load_match_table_by_length(
         _lines(spark, args, args.input),
-        _table(spark, args.table),
+        _table(spark, args, args.table),
         pel_fn=identity.salted_pel(_secret(spark, args, "salt")),
         family=args.family,
         delimiter=args.delimiter,
     )
-    publish_snapshot(loaded.table, args.table)
+    _publish(loaded.table, args, args.table)
     _save_rejects(loaded.rejects, args)
 
 
 def lookup(spark, args):
     found = match_lookup(
         _lines(spark, args, args.input),
-        open_snapshot(spark, args.table),
+        open_snapshot(spark, args.table, merged=False),
         delimiter=args.delimiter,
         family=args.family,
     )
@@ -132,8 +145,8 @@ def lookup(spark, args):
 def _account(spark, args, job, **options):
     loaded = job(
         _lines(spark, args, args.input),
-        _table(spark, args.diff),
-        _table(spark, args.arl),
+        _table(spark, args, args.diff),
+        _table(spark, args, args.arl),
         ana=args.ana,
         cid_key=args.cid_key,
         preferred_pel_key=args.preferred_pel_key,
@@ -144,8 +157,8 @@ def _account(spark, args, job, **options):
     )
     # The keys to delete come from diff, so it is published last: a run that is
     # repeated after a failure in between still finds them.
-    publish_snapshot(loaded.arl, args.arl)
-    publish_snapshot(loaded.diff, args.diff, by_key=True)
+    _publish(loaded.arl, args, args.arl)
+    _publish(loaded.diff, args, args.diff, by_key=True)
     _save_rejects(loaded.rejects, args)
 
 
@@ -187,13 +200,13 @@ def expand(spark, args):
     expanded = expand_pii(
         _lines(spark, args, args.emails),
         _lines(spark, args, args.phones),
-        _table(spark, args.table),
+        _table(spark, args, args.table),
         region=args.region,
         load_id=str(args.load_ts),
         load_ts=args.load_ts,
         pair_limit=args.pair_limit,
     )
-    publish_snapshot(expanded.table, args.table, by_key=True)
+    _publish(expanded.table, args, args.table, by_key=True)
     _save_rejects(expanded.rejects, args)
 
 
@@ -204,7 +217,7 @@ def parser() -> argparse.ArgumentParser:
 
     def job(function, help, *required):
         sub = jobs.add_parser(function.__name__.replace("_", "-"), help=help)
-        sub.set_defaults(run=function)
+        sub.set_defaults(run=function, append=False)
         for name in required:
             sub.add_argument(f"--{name}", required=True)
         sub.add_argument("--rejects", help="folder for the lines left out")
@@ -226,10 +239,13 @@ def parser() -> argparse.ArgumentParser:
     positions(sub, clink=0, sha1=1, md5=2, sha256=3)
     flag(sub, "single-file")
 
-    job(load_mapping, "arl|pel lines -> table", "input", "table", "family")
+    flag(job(load_mapping, "arl|pel lines -> table", "input", "table", "family"), "append")
 
-    sub = job(load_links, "key|value|... lines -> two tables", "input", "forward", "reverse", "family")
+    sub = job(
+        load_links, "key|value|... lines -> two tables", "input", "forward", "reverse", "family"
+    )
     sub.add_argument("--delimiter", default="|")
+    flag(sub, "append")
 
     sub = job(
         load_matches_join, "records a provider also lists -> match table",
@@ -238,10 +254,15 @@ def parser() -> argparse.ArgumentParser:
     positions(sub, provider=None, clink=None, md5=None, sha1=None, sha256=None)
     sub.add_argument("--family", default=HASH_FAMILY)
     sub.add_argument("--delimiter", default="|")
+    flag(sub, "append")
 
-    sub = job(load_matches_by_length, "records with hashes in any order -> match table", "input", "table", "secrets")
+    sub = job(
+        load_matches_by_length, "records with hashes in any order -> match table",
+        "input", "table", "secrets",
+    )
     sub.add_argument("--family", default=HASH_FAMILY)
     sub.add_argument("--delimiter", default="|")
+    flag(sub, "append")
 
     sub = job(lookup, "cookie,pel lines -> cookie|md5|sha1|sha256", "input", "table", "output")
     sub.add_argument("--family", default=HASH_FAMILY)
@@ -249,10 +270,14 @@ def parser() -> argparse.ArgumentParser:
     flag(sub, "single-file")
 
     for function in (account_load, account_refresh):
-        sub = job(function, "key=value lines of one account", "input", "cid-key", "diff", "arl", "secrets")
+        sub = job(
+            function, "key=value lines of one account", "input", "cid-key", "diff", "arl", "secrets"
+        )
         sub.add_argument("--ana", type=int, required=True)
         sub.add_argument("--preferred-pel-key", default=PREFERRED_PEL_KEY)
         sub.add_argument("--delimiter")
+        if function is account_load:
+            flag(sub, "append")
     sub.add_argument("--match", choices=("exact", "prefix"), default="exact")
 
     sub = job(encrypt, "encrypt all fields but the id", "input", "output", "secrets")
@@ -264,6 +289,7 @@ def parser() -> argparse.ArgumentParser:
 
     sub = job(expand, "id hash lines -> expansion table", "emails", "phones", "table", "region")
     sub.add_argument("--pair-limit", type=int, default=256)
+    flag(sub, "append")
     return top
 
 

@@ -27,10 +27,12 @@ def write_lines(
     if header is None:
         out.write.text(path)
         return
-    # One raw column named like the header; the separator cannot occur in a line.
+    # One raw column named like the header. The separator and the comment mark, a
+    # leading one of which would be quoted, are characters no line contains.
     (
         out.withColumnRenamed("value", header)
         .write.option("sep", "\n")
+        .option("comment", "\r")
         .option("header", True)
         .option("quote", "")
         .option("escapeQuotes", False)

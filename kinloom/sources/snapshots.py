@@ -1,9 +1,13 @@
 """Versioned cell tables on a shared file system.
 
-``<root>/data/<version>-<id>`` holds one Parquet snapshot, ``<root>/log`` one
-small JSON row per published version. A reader takes the newest logged version,
-so a snapshot becomes visible at once and only after it is complete; a job that
-dies half-way leaves the previous version in place.
+``<root>/data/<version>-<id>`` holds the Parquet files of one version,
+``<root>/log`` one small JSON row per published version. A reader follows the
+log, so a version becomes visible at once and only after it is complete; a job
+that dies half-way leaves the previous version in place.
+
+A version is either the whole table or an addition: the cells written by one
+load. A load of a small batch into a large table adds its cells instead of
+writing the table anew, and publishes the whole table once in a while.
 """
 
 from __future__ import annotations
@@ -14,9 +18,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinloom.operators.cells import ADDRESS
+from kinloom.operators.cells import ADDRESS, CELL, latest
 
-_LOG_SCHEMA = "version bigint, path string"
+_LOG_SCHEMA = "version bigint, path string, whole boolean"
 
 
 def _log(spark: SparkSession, root: str) -> DataFrame | None:
@@ -34,19 +38,30 @@ def current_version(spark: SparkSession, root: str) -> int:
     return 0 if log is None else log.agg(F.max("version")).first()[0] or 0
 
 
-def open_snapshot(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """Read a published snapshot, the newest by default."""
+def open_snapshot(
+    spark: SparkSession, root: str, version: int | None = None, *, merged: bool = True
+) -> DataFrame:
+    """Read a published version, the newest by default.
+
+    Additions are merged to one cell per address. ``merged=False`` skips that
+    for readers that reduce cells themselves: prefix scans, ``pivot_rows``, the
+    prefix lookup and ``linked_hashes`` give the same result on unmerged cells.
+    """
     log = _log(spark, root)
-    if log is not None and version is not None:
-        log = log.where(F.col("version") == version)
-    path = None if log is None else log.agg(F.max_by("path", F.struct("version", "path"))).first()[0]
-    if path is None:
+    if log is not None:
+        log = log.where(F.col("version") <= (version or F.col("version")))
+        # One row per published version.
+        entries = sorted(log.collect(), key=lambda e: (e["version"], e["path"]))
+    if log is None or not entries or (version and entries[-1]["version"] != version):
         raise ValueError(f"no such snapshot under {root}")
-    return spark.read.parquet(f"{root}/{path}")
+    whole = [i for i, entry in enumerate(entries) if entry["whole"]]
+    paths = [f"{root}/{entry['path']}" for entry in entries[whole[-1] if whole else 0 :]]
+    cells = spark.read.parquet(*paths)
+    return latest(cells) if merged and len(paths) > 1 else cells
 
 
 def publish_snapshot(cells: DataFrame, root: str, *, by_key: bool = False) -> int:
-    """Write ``cells`` as the next version, then log it.
+    """Write ``cells`` as the whole table, then log it as the next version.
 
     By default the partitioning of the plan is written as it is. ``by_key`` adds
     a range shuffle by the full cell address and sorts, so that a prefix scan
@@ -54,14 +69,26 @@ def publish_snapshot(cells: DataFrame, root: str, *, by_key: bool = False) -> in
     splits a row that holds very many cells. It pays for tables that are scanned
     by prefix.
     """
+    return _publish(cells, root, by_key, whole=True)
+
+
+def append_snapshot(puts: DataFrame, root: str, *, by_key: bool = False) -> int:
+    """Log ``puts`` as an addition to the table; the work is that of the batch."""
+    return _publish(puts, root, by_key, whole=False)
+
+
+def _publish(cells: DataFrame, root: str, by_key: bool, whole: bool) -> int:
     spark = cells.sparkSession
     version = current_version(spark, root) + 1
     path = f"data/{version}-{uuid.uuid4().hex}"
+    cells = cells.select(CELL)
     if by_key:
         cells = cells.repartitionByRange(*ADDRESS).sortWithinPartitions(*ADDRESS)
     cells.write.parquet(f"{root}/{path}")
     entry = spark.range(1).select(
-        F.lit(version).cast("bigint").alias("version"), F.lit(path).alias("path")
+        F.lit(version).cast("bigint").alias("version"),
+        F.lit(path).alias("path"),
+        F.lit(whole).alias("whole"),
     )
     entry.coalesce(1).write.mode("append").json(f"{root}/log")
     if _log(spark, root).where(F.col("version") == version).count() > 1:

@@ -99,6 +99,33 @@ def test_accounts(work, spark):
     assert got == {bytes(keys[0]): "XY3", bytes(keys[1]): "XY4"}
 
 
+def test_appended_loads_equal_rewritten_ones(work, spark):
+    common = dict(secrets=work.secrets, cid_key="ID", ana=12)
+    files = [work.put("a1", "ID=a,P=XY1", "ID=b,P=XY2"), work.put("a2", "ID=a,P=XY3", "ID=c,P=XY4")]
+    for n, (mode, flags) in enumerate([("append", ["--append"]), ("rewrite", [])]):
+        tables = dict(diff=work.path(f"{mode}-diff"), arl=work.path(f"{mode}-arl"))
+        for ts, path in enumerate(files, 1):
+            work.run("account-load", *flags, input=path, load_ts=ts, **tables, **common)
+    for table in ("diff", "arl"):
+        assert tuples(work.table(f"append-{table}")) == tuples(work.table(f"rewrite-{table}"))
+    # An addition holds only what came in.
+    raw = open_snapshot(spark, work.path("append-diff"), merged=False)
+    assert raw.count() == 4 and work.table("append-diff").count() == 3
+    work.run("account-refresh", input=work.put("a3", "ID=d,P=XY5"), **common,
+             diff=work.path("append-diff"), arl=work.path("append-arl"))
+    assert tuples(work.table("append-diff").select("row_key")) == [("12#d",)]
+    assert work.table("append-arl").count() == 1
+
+
+def test_lookup_on_appended_cells(work, spark):
+    for n, sha1 in enumerate((SHA1, "dd" * 20)):
+        work.run("load-matches-by-length", "--append", input=work.put(f"m{n}", f"e|{sha1}"),
+                 table=work.path("m"), secrets=work.secrets)
+    pel = one(spark, salted_pel("s")(F.lit("e")))
+    work.run("lookup", input=work.put("requests", f"c,{pel[:9]}"), table=work.path("m"), output=work.path("out"))
+    assert "c||" + "dd" * 20 + "|" in work.lines("out")
+
+
 def test_encrypted_file(work):
     clink = "0000GB0123456789"
     work.run("encrypt", "--single-file", input=work.put("in", f"{clink},a,,b", "bad,a"),

@@ -10,7 +10,12 @@ from kinloom.plans.recent_pels import recent_pels
 from kinloom.session import scratch_dir
 from kinloom.sources.lines import read_lines
 from kinloom.sources.sinks import join_fields, write_lines
-from kinloom.sources.snapshots import current_version, open_snapshot, publish_snapshot
+from kinloom.sources.snapshots import (
+    append_snapshot,
+    current_version,
+    open_snapshot,
+    publish_snapshot,
+)
 
 SCHEMA = "row_key string, family string, qualifier string, ts_micros bigint, value string"
 
@@ -70,6 +75,24 @@ def test_snapshots(spark, tmp_path):
     assert tuples(open_snapshot(spark, root, 1)) == tuples(first)
 
 
+def test_additions_are_merged_on_read(spark, tmp_path):
+    root = str(tmp_path / "table")
+
+    def cells(*rows):
+        return spark.createDataFrame(list(rows), SCHEMA)
+
+    append_snapshot(cells(("a", "f", "q", 1, "x")), root)
+    append_snapshot(cells(("a", "f", "q", 2, "y"), ("b", "f", "q", 0, "z")), root)
+    merged = [("a", "f", "q", 2, "y"), ("b", "f", "q", 0, "z")]
+    assert tuples(open_snapshot(spark, root)) == merged
+    assert tuples(open_snapshot(spark, root, 1)) == [("a", "f", "q", 1, "x")]
+    assert open_snapshot(spark, root, merged=False).count() == 3
+    publish_snapshot(open_snapshot(spark, root), root)
+    append_snapshot(cells(("c", "f", "q", 0, "w")), root)
+    assert open_snapshot(spark, root, merged=False).count() == 3
+    assert tuples(open_snapshot(spark, root)) == merged + [("c", "f", "q", 0, "w")]
+
+
 def test_a_failed_publish_leaves_the_table_as_it_was(spark, tmp_path):
     root = str(tmp_path / "table")
     good = spark.createDataFrame([("a", "f", "q", 1, "x")], SCHEMA)
