@@ -36,7 +36,7 @@ def split_ragged(text: Column, delimiter: str) -> Column:
 
 def trim_control(text: Column) -> Column:
     """Trim spaces, tabs and every other character up to U+0020 on both ends."""
-    return F.regexp_replace(text, "\\A[\\x00-\\x20]+|[\\x00-\\x20]+\\z", "")
+    return F.btrim(text, F.lit("".join(map(chr, range(0x21)))))
 
 
 def is_blank(text: Column) -> Column:
@@ -46,7 +46,8 @@ def is_blank(text: Column) -> Column:
 
 def strip_outer_quotes(text: Column) -> Column:
     """Remove one leading and one trailing double quote."""
-    return F.regexp_replace(text, '\\A"|"\\z', "")
+    stripped = F.regexp_replace(text, '\\A"|"\\z', "")
+    return F.when(text.contains('"'), stripped).otherwise(text)
 
 
 def split_quoted(text: Column, delimiter: str) -> Column:
