@@ -264,6 +264,7 @@ ORACLES: dict[str, str] = {
         SELECT row_key, family, qualifier, max(ts_micros) AS ts_micros, arg_max(value, (ts_micros, value)) AS value
         FROM (SELECT * FROM kept UNION ALL SELECT * FROM puts) GROUP BY row_key, family, qualifier""",
     "published_snapshot": _account_table("diff_old", "diff_new"),
+    "appended_snapshot": _account_table("diff_old", "diff_new"),
     "account_parse": f"WITH {_ACCOUNT} SELECT cid, pel FROM judged WHERE reason IS NULL",
     "account_rejects": f"WITH {_ACCOUNT} SELECT value, reason FROM judged WHERE reason IS NOT NULL",
     "account_incremental_diff": _account_table("diff_old", "diff_new"),

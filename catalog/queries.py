@@ -67,7 +67,7 @@ from kinloom.plans.two_way import load_two_way
 from kinloom.session import scratch_dir
 from kinloom.sources.lines import read_files, read_lines
 from kinloom.sources.sinks import write_lines
-from kinloom.sources.snapshots import open_snapshot, publish_snapshot
+from kinloom.sources.snapshots import append_snapshot, open_snapshot, publish_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -390,6 +390,18 @@ def published_snapshot(spark, sf):
     return open_snapshot(spark, root)
 
 
+@query
+def appended_snapshot(spark, sf):
+    """The load added to the table instead of rewriting it; merged when read."""
+    root = scratch_dir(spark, "snapshot")
+    publish_snapshot(_accounts(spark, sf).diff, root)
+    loaded = account_load_incremental(
+        feed(spark, sf, "account_lines"), None, None, **ACCOUNT_OPTIONS
+    )
+    append_snapshot(loaded.diff, root)
+    return open_snapshot(spark, root)
+
+
 # Customer accounts
 
 

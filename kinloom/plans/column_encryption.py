@@ -30,6 +30,7 @@ def encrypt_fields(
     cipher: Cipher = encrypt_field,
     translate_clink: bool = True,
     delimiter: str = ",",
+    max_width: int | None = None,
     observation: Observation | None = None,
 ) -> Parsed:
     """Rows of one array column ``fields``, as wide as the line was.
@@ -45,12 +46,14 @@ def encrypt_fields(
         F.slice(fields, F.lit(2), F.size(fields) - 1),
         lambda x: F.when(is_blank(x), F.lit("")).otherwise(cipher(x, F.col("key"))),
     )
+    faults = {"invalid_id": ~valid(first)}
+    if max_width is not None:
+        faults["too_wide"] = F.size(fields) > max_width
+    # The key is a column first: it may be a subquery, which a lambda cannot hold.
+    split = split_all(F.col("value"), delimiter).alias("fields")
     return divide(
-        # The key is a column first: it may be a subquery, which a lambda cannot hold.
-        lines.select(
-            "value", split_all(F.col("value"), delimiter).alias("fields"), as_column(key).alias("key")
-        ),
-        {"invalid_id": ~valid(first)},
+        lines.select("value", split, as_column(key).alias("key")),
+        faults,
         [F.concat(F.array(translate(first)), rest).alias("fields")],
         observation,
     )
@@ -81,19 +84,11 @@ def encrypt_columns(
         pel_fn=pel_fn,
         cipher=cipher,
         translate_clink=translate_clink,
+        max_width=len(HEADER_COLUMNS),
         observation=observation,
     )
-    width = len(HEADER_COLUMNS)
-    wide = F.size(split_all(F.col("value"), ",")) > width
-    narrow = encrypted.rows.where(F.size("fields") <= width)
-    rows = narrow.select(
-        *[
-            F.coalesce(F.get("fields", F.lit(i)), F.lit("")).alias(name)
-            for i, name in enumerate(HEADER_COLUMNS)
-        ]
-    )
-    valid = is_clink if translate_clink else is_pel
-    too_wide = lines.where(wide & valid(F.get(split_all(F.col("value"), ","), F.lit(0)))).select(
-        "value", F.lit("too_wide").alias("reason")
-    )
-    return Parsed(rows, encrypted.rejects.unionByName(too_wide))
+    columns = [
+        F.coalesce(F.get("fields", F.lit(i)), F.lit("")).alias(name)
+        for i, name in enumerate(HEADER_COLUMNS)
+    ]
+    return Parsed(encrypted.rows.select(*columns), encrypted.rejects)

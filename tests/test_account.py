@@ -1,5 +1,7 @@
 import pytest
 from conftest import tuples
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from kinloom.functions.identity import salted_account_arl
@@ -94,3 +96,22 @@ def test_options_are_checked_when_the_job_is_built(spark, lines):
         account_load_incremental(lines([]), diff, arl, ana="12", **OPTIONS)
     with pytest.raises(ValueError, match="match must be"):
         account_refresh_full(lines([]), diff, arl, ana=12, match="like", **OPTIONS)
+
+
+CIDS = st.sampled_from(["a", "b", "a#", "#a", "a#b", "1"])
+ROWS = st.lists(st.tuples(st.sampled_from([1, 12, 123]), CIDS, st.sampled_from(["XY1", "XY2"])), max_size=12)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(ROWS, st.dictionaries(CIDS, st.sampled_from(["XY8", "Xi9"]), max_size=4), st.sampled_from(["exact", "prefix"]))
+def test_refresh_against_brute_force(spark, lines, rows, new, match):
+    old = {(ana, cid): pel for ana, cid, pel in rows}
+    diff, arl = tables(spark, *[(a, c, p) for (a, c), p in old.items()])
+    loaded = account_refresh_full(
+        lines([f"CID={c},P={p}" for c, p in new.items()]), diff, arl, ana=12, match=match, **OPTIONS
+    )
+    gone = (12,) if match == "exact" else (12, 123)
+    want = {k: p for k, p in old.items() if k[0] not in gone}
+    want.update({(12, c): p for c, p in new.items()})
+    assert by_key(loaded.diff) == {f"{a}#{c}": p for (a, c), p in want.items()}
+    assert by_key(loaded.arl) == arl_of(spark, *[(a, c, p) for (a, c), p in want.items()])
