@@ -35,8 +35,13 @@ def split_ragged(text: Column, delimiter: str) -> Column:
 
 
 def trim_control(text: Column) -> Column:
-    """Trim spaces, tabs and every other character up to U+0020 on both ends."""
-    return F.btrim(text, F.lit("".join(map(chr, range(0x21)))))
+    """Trim spaces, tabs and every other character up to U+0020 on both ends.
+
+    Only a text with such a character at an end goes through the regex.
+    """
+    padded = (F.left(text, F.lit(1)) <= " ") | (F.right(text, F.lit(1)) <= " ")
+    trimmed = F.regexp_replace(text, "\\A[\\x00-\\x20]+|[\\x00-\\x20]+\\z", "")
+    return F.when(padded, trimmed).otherwise(text)
 
 
 def is_blank(text: Column) -> Column:
