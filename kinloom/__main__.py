@@ -269,10 +269,11 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--delimiter", default=",")
     flag(sub, "single-file")
 
-    for function in (account_load, account_refresh):
-        sub = job(
-            function, "key=value lines of one account", "input", "cid-key", "diff", "arl", "secrets"
-        )
+    for function, help in (
+        (account_load, "key=value lines added to one account"),
+        (account_refresh, "key=value lines that replace one account"),
+    ):
+        sub = job(function, help, "input", "cid-key", "diff", "arl", "secrets")
         sub.add_argument("--ana", type=int, required=True)
         sub.add_argument("--preferred-pel-key", default=PREFERRED_PEL_KEY)
         sub.add_argument("--delimiter")

@@ -14,7 +14,14 @@ from pyspark.sql import functions as F
 
 from kinloom.fixed import PEL_FAMILY, PEL_QUALIFIER, PREFERRED_PEL_KEY, ROW_KEY_SEPARATOR
 from kinloom.functions.identity import AccountArlFn
-from kinloom.operators.cells import apply_mutations, latest, load_time, replace_rows, to_cells
+from kinloom.operators.cells import (
+    CELL,
+    apply_mutations,
+    latest,
+    load_time,
+    replace_rows,
+    to_cells,
+)
 from kinloom.operators.parse import parse_account_lines
 
 
@@ -103,8 +110,8 @@ def account_prefix(ana: int, match: str = "exact") -> str:
 
 def account_refresh_full(
     lines: DataFrame,
-    diff: DataFrame,
-    arl: DataFrame,
+    diff: DataFrame | None,
+    arl: DataFrame | None,
     *,
     ana: int,
     cid_key: str,
@@ -123,6 +130,7 @@ def account_refresh_full(
     result is published as a snapshot.
     """
     _check_account(ana)
+    prefix = account_prefix(ana, match)
     parsed = parse_account_lines(
         lines,
         cid_key=cid_key,
@@ -133,15 +141,18 @@ def account_refresh_full(
     )
     ts = load_time() if load_ts is None else load_ts
     account = F.lit(ana)
+    new_diff = latest(_puts(parsed.rows, _row_key(account.cast("string")), ts))
+    new_arl = _puts(parsed.rows, arl_fn(account, F.col("cid")), ts)
+    if diff is None:
+        return AccountTables(new_diff, apply_mutations(arl, new_arl), parsed.rejects)
     # The prefix covers every new key too, so the kept rows and the new ones are
     # disjoint and the table itself is filtered without a shuffle.
-    kept = diff.where(~F.col("row_key").startswith(account_prefix(ana, match)))
-    new_diff = latest(_puts(parsed.rows, _row_key(account.cast("string")), ts))
+    kept = diff.where(~F.col("row_key").startswith(prefix))
     stale = account_keys(diff, ana, match=match).select(
         arl_fn(F.col("ana"), F.col("cid")).alias("row_key")
     )
     return AccountTables(
-        kept.unionByName(new_diff),
-        replace_rows(arl, _puts(parsed.rows, arl_fn(account, F.col("cid")), ts), stale),
+        kept.select(CELL).unionByName(new_diff),
+        latest(new_arl) if arl is None else replace_rows(arl, new_arl, stale),
         parsed.rejects,
     )

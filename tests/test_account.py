@@ -84,6 +84,15 @@ def test_refresh_with_an_empty_file_clears_the_account(spark, lines):
     assert loaded.arl.count() == 2
 
 
+def test_refresh_starts_from_nothing(spark, lines):
+    data = lines(["CID=a,P=XY1"])
+    loaded = account_refresh_full(data, None, None, ana=12, **OPTIONS)
+    assert tuples(loaded.diff) == [("12#a", "pel", "pel", 9, "XY1")]
+    assert by_key(loaded.arl) == arl_of(spark, (12, "a", "XY1"))
+    kept = account_refresh_full(data, None, tables(spark, (1, "b", "XY2"))[1], ana=12, **OPTIONS)
+    assert by_key(kept.arl) == arl_of(spark, (1, "b", "XY2"), (12, "a", "XY1"))
+
+
 def test_keys_without_an_account_or_customer_are_left_out(spark):
     rows = [(k, "pel", "pel", 1, "v") for k in ("12", "12#", "12#a#b", "12x#a", "12#c")]
     keys = account_keys(spark.createDataFrame(rows, SCHEMA), 12, match="prefix")

@@ -123,6 +123,26 @@ def test_replace_rows_shuffles_the_table_once(spark, setting, tmp_path):
     assert plan.count("Exchange hashpartitioning") == 4
 
 
+def test_replace_rows_holds_when_partitions_are_coalesced(spark, setting):
+    setting(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__shuffle__partitions="40")
+
+    def made(n, step, ts):
+        key = F.sha1((F.col("id") * step).cast("string"))
+        return spark.range(n).select(
+            key.alias("row_key"),
+            F.lit("f").alias("family"),
+            F.when(F.col("id") % 5 == 0, "a").otherwise("b").alias("qualifier"),
+            F.lit(ts).cast("bigint").alias("ts_micros"),
+            F.col("id").cast("string").alias("value"),
+        )
+
+    table, puts = made(20_000, 1, 1), made(4_000, 7, 2)
+    keys = table.where(F.col("value").endswith("9")).select("row_key")
+    one, other = replace_rows(table, puts, keys), apply_mutations(table, puts, keys)
+    assert one.exceptAll(other).count() == 0 == other.exceptAll(one).count()
+    assert one.count() == one.select(*ADDRESS).distinct().count()
+
+
 def test_hot_address_is_combined_before_the_shuffle(spark):
     hot = spark.range(20_000).select(
         F.lit("k").alias("row_key"),
