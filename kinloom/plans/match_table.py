@@ -138,7 +138,7 @@ def match_lookup(
     requests = parse_requests(lines, delimiter=delimiter).rows.select(
         "cookie", asked.alias("prefix")
     )
-    prefixes = requests.select("prefix").where(F.col("prefix").isNotNull()).distinct()
+    prefixes = requests.select("prefix").where(F.col("prefix").isNotNull())
 
     def filed_as(name: str) -> Column:
         return (F.col("family") == family) & (F.col("qualifier") == name)
@@ -147,7 +147,7 @@ def match_lookup(
     filed = F.array(*[F.col(name) for name in HASH_COLUMNS])
     # Both sides are hashed by prefix already, so this costs no shuffle and leaves
     # at most one row per id asked for.
-    repaired = found.join(prefixes, "prefix", "left_semi").select(
+    repaired = found.join(prefixes.distinct(), "prefix", "left_semi").select(
         "prefix", *[hashed.alias(name) for name, hashed in hashes_by_length(filed).items()]
     )
     # One id, or no id, may be asked for by a large share of the requests.
