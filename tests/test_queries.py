@@ -2,10 +2,13 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
+from catalog.oracles import ORACLES
+from catalog.queries import QUERIES
 from check import compare, connect
 
 SF = "/root/testdata/sf0.001"
+NAMES = list(ORACLES)
 
 
 @pytest.fixture(scope="module")
@@ -14,19 +17,19 @@ def oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
 def test_entry(spark):
     assert entry(spark).columns == ["arl", "pel"] and entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, oracle, name):
     assert compare(spark, oracle, SF, name) == ""
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_plan(spark, setting, name):
     """No cross join, no nested loop, no Python, nothing gathered into one window."""
     setting(spark__sql__autoBroadcastJoinThreshold="-1")
