@@ -6,11 +6,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinloom.llm import line_dedup, mixing, secret_scan
 from kinloom.llm.common import documents
+from kinloom.llm.crf_quality import quality_scores, train
+from kinloom.llm.kd_topk import top_k
+from kinloom.llm.lattice_dedup import near_duplicates
 from kinloom.llm.packing import best_fit_packing, token_pieces
+from kinloom.llm.sharding import place_documents
 from kinloom.llm.simhash import simhash_groups
+from kinloom.llm.suffix_dedup import remove_repeats
 
 VOCABULARY = "word_bpe_49k.json"
+SHARDS = {f"shard-{i:03d}": 1 for i in range(256)}
+
+
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,13 +40,51 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(documents(spark, sf_dir))
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return place_documents(documents(spark, sf_dir), SHARDS)
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    chain = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_scores(docs, chain)
+
+
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan_secrets(documents(spark, sf_dir)))
+
+
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(token_pieces(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY)))
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_mixing": op2_mixing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_line_dedup": op4_line_dedup,
+    "op5_sharding": op5_sharding,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_exact_top_k": op7_exact_top_k,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_mixing": mixing.oracle(),
+    "op4_line_dedup": line_dedup.oracle(),
+    "op8_secret_scan": secret_scan.oracle(),
+}
