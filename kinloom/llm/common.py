@@ -1,33 +1,11 @@
-"""The shared folder, staged tables, and document rows with a defined identity."""
+"""Tables as the operators read them."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def shared_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a local session without one gets a folder of its own."""
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not root:
-        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="kinloom-llm-")
-        sc.setCheckpointDir(root)
-    return root.rstrip("/")
-
-
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends here."""
-    path = f"{shared_root(df.sparkSession)}/kinloom-llm/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def partitions(df: DataFrame) -> int:
     """Number of shuffle partitions of the session."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinloom.llm.common import staged
+from kinloom.session import staged
 
 
 def local_labels(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:

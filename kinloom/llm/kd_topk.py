@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from kinloom.llm.common import staged
+from kinloom.session import staged
 from kinloom.llm.vectors import finite, matrix
 
 HIT = T.StructType([T.StructField(n, T.LongType()) for n in ("query_id", "vec_id", "score")])

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinloom.llm.common import staged
+from kinloom.session import staged
 from kinloom.llm.components import connected
 from kinloom.llm.vectors import finite
 

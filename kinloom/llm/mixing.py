@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinloom.llm.common import staged
+from kinloom.session import staged
 
 DIMENSIONS = ("source", "lang", "topic")
 #: The tables have no topic; which of these stems a text has most often stands in for it.

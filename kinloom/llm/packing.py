@@ -12,7 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinloom.llm.common import staged, texts
+from kinloom.llm.common import texts
+from kinloom.session import staged
 
 CACHED_WORDS = 400_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"

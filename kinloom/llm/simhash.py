@@ -9,8 +9,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinloom.llm.common import staged, texts
+from kinloom.llm.common import texts
 from kinloom.llm.components import connected, local_labels
+from kinloom.session import staged
 
 CHUNK = 1 << 16
 

@@ -270,23 +270,27 @@ def repeats(docs: DataFrame, length: int = 100, k: int = 32) -> DataFrame:
             if hot.any():
                 at_hot = np.unique(np.concatenate([np.arange(f, z + 1) for f, z in zip(first[hot], last[hot])]))
                 one = windows(raw, at_hot, length)
-                names.append((one, np.full(len(at_hot), number), np.full(len(at_hot), t), at_hot))
+                same = len(at_hot)
+                names.append((one, np.full(same, len(names)), np.full(same, number), np.full(same, t), at_hot))
         if page:
             yield pd.DataFrame({"page": page, "_id": numbers, "_t": t_of, "start": start, "span": span, "string": strings})
         if names:
-            one, ids, ts, at = (np.concatenate(x, axis=-1) for x in zip(*names))
+            one, docs, ids, ts, at = (np.concatenate(x, axis=-1) for x in zip(*names))
             order, later = settled([one[0], one[1]], ids, at)  # of equal windows in a batch one is sent
             gone, stay = order[later], order[~later]
             both = [one[:, i].T.tobytes() for i in stay]
             yield pd.DataFrame({"page": (one[0][stay] % _U(pages)).astype(np.int64), "_id": ids[stay], "_t": ts[stay], "start": at[stay], "span": 0, "string": both})
-            if len(gone):
-                yield pd.DataFrame({"page": (one[0][gone] % _U(pages)).astype(np.int64), "_id": ids[gone], "_t": ts[gone], "start": at[gone], "span": -1, "string": b""})
+            if len(gone):  # settled: runs that only pass through, spread by document
+                doc, first, last = joined_runs(docs[gone], at[gone], at[gone])
+                lead = np.searchsorted(docs, doc)
+                yield pd.DataFrame({"page": (ids[lead] + first) % pages, "_id": ids[lead], "_t": ts[lead], "start": first, "span": first - last - 1, "string": b""})
 
     def rank(rows: pd.DataFrame) -> pd.DataFrame:
         """Runs of windows that came earlier, among the windows of one page."""
         ids, ts, start, span = (rows[c].to_numpy(np.int64) for c in ("_id", "_t", "start", "span"))
         strings = rows["string"].to_list()
-        out = [np.stack([ids[span < 0], ts[span < 0], run(start[span < 0], start[span < 0])])]
+        done = span < 0
+        out = [np.stack([ids[done], ts[done], run(start[done], start[done] - span[done] - 1)])]
         hot = np.flatnonzero(span == 0)
         if len(hot):
             names = np.frombuffer(b"".join(strings[i] for i in hot), _U).reshape(-1, 2)
