@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import re
 
+from kinloom.fixed import PREFERRED_PEL_KEY
+
 SALT = "pepper"
 ACCOUNT = 12
 REGION = "DE"
@@ -124,7 +126,7 @@ FEEDS = {
     "account_lines": f"""
         SELECT CASE event_type
             WHEN 'view' THEN 'CID=' || cid || ',PEL=XY' || h || ',SITE=Xenon'
-            WHEN 'click' THEN ' CID="' || cid || '",A=Xi' || h || ',LRI_DER_LRI_SHA256_EMAIL1="' || CASE WHEN value < 5 THEN '' ELSE 'p' || h END || '"' || chr(9)
+            WHEN 'click' THEN ' CID="' || cid || '",A=Xi' || h || ',{PREFERRED_PEL_KEY}="' || CASE WHEN value < 5 THEN '' ELSE 'p' || h END || '"' || chr(9)
             WHEN 'signup' THEN 'A="Xi' || h || '",B=XY' || h || ',CID=' || cid
             WHEN 'purchase' THEN CASE WHEN value < 2 THEN 'CID=' || cid || ',PEL' WHEN value < 5 THEN 'CID=' || cid || ',PEL=XY' || h || ',PEL=XY'
                 WHEN value < 10 THEN 'CID=' || cid || ',PEL=XY=' || h WHEN value < 15 THEN '  ' ELSE 'CID=' || cid || ',PEL=XY' || h END

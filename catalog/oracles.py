@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from catalog.feeds import ACCOUNT, REGION, SALT, feed_sql
-from kinloom.fixed import ENCRYPTED_HEADER
+from kinloom.fixed import ENCRYPTED_HEADER, PREFERRED_PEL_KEY
 
 
 def _lines(name: str) -> str:
@@ -77,11 +77,17 @@ def _pairs(owned: str, rows: str) -> str:
           GROUP BY a.id, a.kind, a.hash, b.hash)"""
 
 
-_SIZES = "sizes AS (SELECT id, count(DISTINCT hash) AS n FROM owned GROUP BY id)"
-_SMALLEST = """SELECT 'email' AS kind, min(sha256('e' || CAST(o_orderkey - o_orderkey % 4 AS STRING))) AS hash
-    FROM orders GROUP BY o_orderstatus
-    UNION ALL SELECT 'phone', min(sha256('p' || CAST(o_orderkey - o_orderkey % 6 AS STRING)))
-    FROM orders GROUP BY o_orderstatus"""
+_GROUPS = f"""entries AS (SELECT id, hash, bool_or(kind = 'email') AS e, bool_or(kind = 'phone') AS p FROM owned GROUP BY id, hash),
+groups AS (
+    SELECT id, '{REGION}#group#' || id || '#' || n || '-' || lower(to_hex(mark)) AS group_key
+    FROM (SELECT id, sum(e::INT + p::INT) AS n,
+            bit_xor(CAST('0x' || substr(md5(hash || '|' || e || '|' || p), 1, 15) AS BIGINT)) AS mark
+          FROM entries GROUP BY id) WHERE n > 1),
+listed AS (
+    SELECT group_key, kind, hash, e AND p AS both
+    FROM owned JOIN entries USING (id, hash) JOIN groups USING (id))"""
+_ASKED = """SELECT DISTINCT 'email' AS kind, sha256('e' || CAST(s_suppkey - s_suppkey % 4 AS STRING)) AS hash FROM supplier
+    UNION ALL SELECT DISTINCT 'phone', sha256('p' || CAST(s_suppkey - s_suppkey % 6 AS STRING)) FROM supplier"""
 
 # Match table
 
@@ -150,8 +156,8 @@ fields AS (
         len(list_filter(p, lambda x: len(x) <> 2)) > 0 AS malformed,
         len(list_distinct(list_transform(p, lambda x: x[1]))) < len(p) AS duplicate,
         coalesce({_UNQUOTE.format("list_filter(p, lambda x: x[1] = 'CID')[1][2]")}, '') AS cid,
-        len(list_filter(p, lambda x: x[1] = 'LRI_DER_LRI_SHA256_EMAIL1')) > 0 AS preferred,
-        {_UNQUOTE.format("list_filter(p, lambda x: x[1] = 'LRI_DER_LRI_SHA256_EMAIL1')[1][2]")} AS preferred_value,
+        len(list_filter(p, lambda x: x[1] = '{PREFERRED_PEL_KEY}')) > 0 AS preferred,
+        {_UNQUOTE.format(f"list_filter(p, lambda x: x[1] = '{PREFERRED_PEL_KEY}')[1][2]")} AS preferred_value,
         list_max(list_filter(list_transform(p, lambda x: {_UNQUOTE.format('x[2]')}),
             lambda v: starts_with(v, 'XY') OR starts_with(v, 'Xi'))) AS best
     FROM pairs),
@@ -197,6 +203,11 @@ _TEXT_LINES = (
     "string_split_regex(regexp_replace(text, '(\\r\\n|\\n|\\r)$', ''), '\\r\\n|\\n|\\r')"
 )
 
+# A source's texts are one text in the order of their ids; its last line may lack an end.
+_WHOLE = f"""WITH w AS (SELECT source AS path, {_TEXT_LINES.replace("text", "t")} AS g
+    FROM (SELECT source, string_agg(text, '' ORDER BY doc_id) AS t FROM documents WHERE text <> '' GROUP BY source)),
+l AS (SELECT path, CAST(unnest(range(len(g))) AS BIGINT) AS line_no, unnest(g) AS value FROM w)"""
+
 ORACLES: dict[str, str] = {
     "arl_pel_mapping": f"WITH {_MAPPING} SELECT arl, pel FROM mapping",
     "arl_pel_rejects": f"WITH {_RECORD_REJECTS} SELECT value, reason FROM rejects",
@@ -214,18 +225,13 @@ ORACLES: dict[str, str] = {
     "two_way_reverse": f"""WITH {_LINKS}
         SELECT DISTINCT linked AS row_key, 'links' AS family, key AS qualifier, 2000::BIGINT AS ts_micros, '' AS value FROM links""",
     "one_to_many_rows": f"WITH {_LINKS} SELECT key, linked FROM links",
-    "pii_expansion": f"""WITH {_PEOPLE}, {_SIZES},
-        listed AS (SELECT o.*, count(*) OVER (PARTITION BY id, hash) AS kinds
-                   FROM owned o JOIN sizes USING (id) WHERE n > 256),
-        few AS (SELECT o.* FROM owned o JOIN sizes USING (id) WHERE n <= 256)
-        SELECT row_key, family, qualifier, 2000::BIGINT AS ts_micros, '' AS value
-        FROM ({_pairs('few', 'SELECT * FROM few')})
-        UNION ALL
-        SELECT DISTINCT '{REGION}#' || kind || '#' || hash, 'group', '{REGION}#group#r1#' || id, 2000::BIGINT, '' FROM listed
+    "pii_expansion": f"""WITH {_PEOPLE}, {_GROUPS}
+        SELECT DISTINCT '{REGION}#' || kind || '#' || hash AS row_key, 'group' AS family, group_key AS qualifier,
+            2000::BIGINT AS ts_micros, '' AS value FROM listed
         UNION ALL
-        SELECT '{REGION}#group#r1#' || id, kind, hash, 2000::BIGINT, CASE kinds WHEN 2 THEN 'both' ELSE '' END FROM listed""",
+        SELECT group_key, kind, hash, 2000::BIGINT, CASE WHEN both THEN 'both' ELSE '' END FROM listed""",
     "pii_expansion_rejects": f"WITH {_PEOPLE} SELECT value, 'width' AS reason FROM words WHERE len(w) <> 2",
-    "pii_expansion_lookup": f"""WITH {_PEOPLE}, asked AS ({_SMALLEST})
+    "pii_expansion_lookup": f"""WITH {_PEOPLE}, asked AS ({_ASKED})
         {_pairs('owned', 'SELECT o.* FROM owned o JOIN (SELECT DISTINCT kind, hash FROM asked) USING (kind, hash)')}""",
     "id_hash_pairs": f"WITH {_PEOPLE} SELECT w[1] AS id, w[2] AS hash FROM words WHERE kind = 'email' AND len(w) = 2",
     "match_load_join": f"""WITH kb AS ({_csv('kb_lines')}), provider AS ({_csv('provider_lines')}),
@@ -245,6 +251,7 @@ ORACLES: dict[str, str] = {
         FROM (UNPIVOT stored ON md5, sha1, sha256 INTO NAME qualifier VALUE value)""",
     "match_lookup_latest": _match_lookup(_NOT_BLANK),
     "match_lookup_blank_matches_all": _match_lookup(""),
+    "match_lookup_of_one_family": _match_lookup(_NOT_BLANK),
     "match_delivery_file": _match_lookup(_NOT_BLANK),
     "request_pairs": f"WITH {_REQUESTS} SELECT cookie, pel FROM requests",
     "hash_repair": f"""SELECT pel AS row_key, coalesce({_first(32, 'h')}, '') AS md5,
@@ -265,6 +272,8 @@ ORACLES: dict[str, str] = {
         FROM (SELECT * FROM kept UNION ALL SELECT * FROM puts) GROUP BY row_key, family, qualifier""",
     "published_snapshot": _account_table("diff_old", "diff_new"),
     "appended_snapshot": _account_table("diff_old", "diff_new"),
+    "account_parse_semicolons": f"WITH {_ACCOUNT} SELECT replace(cid, ',', ';') AS cid, pel FROM judged WHERE reason IS NULL",
+    "account_key_parts_exact": f"SELECT ana, cid FROM ({_lines('accounts')}) WHERE ana = {ACCOUNT}",
     "account_parse": f"WITH {_ACCOUNT} SELECT cid, pel FROM judged WHERE reason IS NULL",
     "account_rejects": f"WITH {_ACCOUNT} SELECT value, reason FROM judged WHERE reason IS NOT NULL",
     "account_incremental_diff": _account_table("diff_old", "diff_new"),
@@ -296,18 +305,24 @@ ORACLES: dict[str, str] = {
             CASE WHEN length(f[2]) % 2 = 1 THEN 'odd_length' WHEN NOT regexp_full_match(f[2], '[0-9a-fA-F]+') THEN 'bad_chars' END AS fault
         FROM (SELECT value, string_split(rtrim(value, '|'), '|') AS f FROM (
             {_lines('account_lines')} UNION ALL {_lines('identity_lines')}))""",
-    "encrypt_round_trip": f"WITH {_PERSON} SELECT {_pel('f[1]')} AS pel, {_ENCRYPTED} FROM valid WHERE len(f) <= 14",
+    "encrypt_round_trip": f"""WITH {_PERSON} SELECT {_pel('f[1]')} AS pel, {_ENCRYPTED},
+            coalesce(array_to_string(f[15:], ','), '') AS surplus FROM valid""",
     "encrypt_rejects": f"""WITH {_PERSON}
-        SELECT value, 'too_wide' AS reason FROM valid WHERE len(f) > 14
-        UNION ALL SELECT value, 'invalid_id' FROM person ANTI JOIN (SELECT DISTINCT value FROM valid) USING (value)""",
+        SELECT value, 'invalid_id' AS reason FROM person ANTI JOIN (SELECT DISTINCT value FROM valid) USING (value)""",
+    "ciphertext_of_fields": f"""WITH {_PERSON}, x AS (SELECT unnest(f[2:]) AS t FROM valid)
+        SELECT count(*) AS fields, count(DISTINCT t) AS texts, count(DISTINCT t) AS ciphertexts, 0::BIGINT AS unchanged
+        FROM x WHERE trim(t) <> ''""",
     "encrypted_file": f"""WITH {_PERSON}
         SELECT array_to_string(list_prepend({_pel('f[1]')},
             list_transform(f[2:], lambda x: CASE WHEN trim(x) = '' THEN '' ELSE x END)), ',') AS value FROM valid""",
     "decrypt_files_lines": f"""SELECT CAST(doc_id AS VARCHAR) AS path, (unnest(range(len(l))))::INT AS line_no, unnest(l) AS value
         FROM (SELECT doc_id, {_TEXT_LINES} AS l FROM documents WHERE lang <> 'de' AND text <> '')""",
     "decrypt_files_rejects": "SELECT CAST(doc_id AS VARCHAR) AS path, 'decrypt_failed' AS reason FROM documents WHERE lang = 'de'",
-    "decrypt_blocks_lines": f"""SELECT source AS path, unnest({_TEXT_LINES}) AS value FROM documents
-        WHERE text <> '' AND source NOT IN (SELECT source FROM documents WHERE lang = 'de' AND source = 'src2')""",
+    "decrypt_blocks_lines": f"""{_WHOLE} SELECT path, line_no, value FROM l
+        WHERE path NOT IN (SELECT source FROM documents WHERE lang = 'de' AND source = 'src2')""",
+    "decrypted_file_lines": f"{_WHOLE} SELECT value FROM l",
+    "single_file_delivery": f"""WITH {_PEOPLE}
+        SELECT 1::BIGINT AS files, count(*) AS lines, count(DISTINCT (w[1], w[2])) AS different FROM words WHERE kind = 'email' AND len(w) = 2""",
     "compressed_text_scan": _lines("identity_lines"),
     "binary_file_scan": _lines("identity_lines"),
     "recent_pels_of_country": """SELECT DISTINCT 'Xi' || md5(c_name) AS pel

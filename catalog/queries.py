@@ -52,7 +52,7 @@ from kinloom.plans.column_encryption import (
     encrypt_fields,
     encrypted_lines,
 )
-from kinloom.plans.file_decryption import decrypt_blocks, decrypt_files, split_lines
+from kinloom.plans.file_decryption import decrypt_blocks, decrypt_files, read_blocks, split_lines
 from kinloom.plans.hash_mapping import build_arl_pel_mapping, load_arl_pel, mapping_lines
 from kinloom.plans.match_table import (
     hash_cells,
@@ -89,19 +89,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Redistribute a scan that has fewer splits than the session has cores.
-
-    A small table is one row group and would be read, hashed and parsed by one
-    task. A scan with enough splits is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def feed(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    tables = {t: spread(table(spark, sf, t)) for t in tables_of(name)}
-    return spark.sql(feed_sql(name, "spark"), **tables)
+    return spark.sql(feed_sql(name, "spark"), **{t: table(spark, sf, t) for t in tables_of(name)})
 
 
 def hex_key(cells: DataFrame) -> DataFrame:
@@ -204,7 +193,6 @@ def _expansion(spark, sf, emails="email_lines", phones="phone_lines"):
         feed(spark, sf, phones),
         None,
         region=REGION,
-        load_id="r1",
         load_ts=NEW_TS,
     )
 
@@ -221,21 +209,16 @@ def pii_expansion_rejects(spark, sf):
 
 @query
 def pii_expansion_lookup(spark, sf):
-    """Everything linked to the smallest e-mail and phone hash of each order status."""
-    orders = table(spark, sf, "orders")
+    """Everything linked to one e-mail and one phone hash per supplier."""
+    suppliers = table(spark, sf, "supplier")
 
-    def smallest(kind: str, letter: str, step: int) -> DataFrame:
-        key = F.col("o_orderkey") - F.col("o_orderkey") % step
-        hashed = F.sha2(F.concat(F.lit(letter), key.cast("string")), 256)
-        return (
-            orders.groupBy("o_orderstatus")
-            .agg(F.min(hashed).alias("hash"))
-            .select(F.lit(kind).alias("type"), "hash")
-        )
+    def asked(kind: str, letter: str, step: int) -> DataFrame:
+        key = F.col("s_suppkey") - F.col("s_suppkey") % step
+        return suppliers.select(F.lit(kind).alias("type"), F.sha2(F.concat(F.lit(letter), key.cast("string")), 256).alias("hash"))
 
-    keys = smallest("email", "e", 4).unionByName(smallest("phone", "p", 6))
+    keys = asked("email", "e", 4).unionByName(asked("phone", "p", 6))
     root = scratch_dir(spark, "expansion")
-    publish_snapshot(_expansion(spark, sf).table, root)
+    publish_snapshot(_expansion(spark, sf).table, root, by_key=True)
     return linked_hashes(open_snapshot(spark, root), keys, region=REGION)
 
 
@@ -318,6 +301,14 @@ def match_lookup_latest(spark, sf):
     return _lookup(spark, sf)
 
 
+@query
+def match_lookup_of_one_family(spark, sf):
+    """The table also holds later cells of another family, which answer nothing."""
+    cells = _match_cells(spark, sf)
+    other = cells.withColumns({"family": F.lit("other"), "ts_micros": F.lit(NEW_TS).cast("bigint"), "value": F.reverse("value")})
+    return match_lookup(feed(spark, sf, "request_lines"), cells.unionByName(other))
+
+
 @query
 def match_lookup_blank_matches_all(spark, sf):
     return _lookup(spark, sf, blank_matches_all=True)
@@ -488,6 +479,18 @@ def account_key_parts(spark, sf):
     return account_keys(_accounts(spark, sf).diff, 1, match="prefix")
 
 
+@query
+def account_key_parts_exact(spark, sf):
+    return account_keys(_accounts(spark, sf).diff, ACCOUNT)
+
+
+@query
+def account_parse_semicolons(spark, sf):
+    """The same lines with another separator, which is inferred from all of them."""
+    lines = feed(spark, sf, "account_lines").select(F.replace("value", F.lit(","), F.lit(";")).alias("value"))
+    return parse_account_lines(lines, cid_key="CID").rows
+
+
 # Identifiers
 
 
@@ -543,7 +546,7 @@ def _encrypted(function, spark, sf):
 
 @query
 def encrypt_round_trip(spark, sf):
-    """The fourteen columns; all but the id are decrypted again."""
+    """The fourteen columns and what a line has beyond; all but the id are decrypted again."""
     rows = _encrypted(encrypt_columns, spark, sf).rows
     return rows.select(
         F.col("PEL").alias("pel"),
@@ -551,6 +554,7 @@ def encrypt_round_trip(spark, sf):
             F.when(F.col(c) == "", F.lit("")).otherwise(decrypt_field(F.col(c), KEY)).alias(c.lower())
             for c in HEADER_COLUMNS[1:]
         ],
+        F.array_join(F.transform("surplus", lambda x: decrypt_field(x, KEY)), ",").alias("surplus"),
     )
 
 
@@ -577,7 +581,7 @@ def encrypted_file(spark, sf):
 def _sealed(spark, sf, broken):
     text = F.col("text").cast("binary")
     sealed = F.when(broken, text).otherwise(F.aes_encrypt(text, F.lit(KEY)))
-    return spread(table(spark, sf, "documents")).withColumn("content", sealed)
+    return table(spark, sf, "documents").withColumn("content", sealed)
 
 
 @query
@@ -603,10 +607,48 @@ def decrypt_files_rejects(spark, sf):
 def decrypt_blocks_lines(spark, sf):
     """One file per source, one block per document; a broken block fails its file."""
     docs = _sealed(spark, sf, (F.col("lang") == "de") & (F.col("source") == "src2"))
-    blocks = docs.select(F.col("source").alias("path"), F.base64("content").alias("value"))
+    blocks = docs.select(F.col("source").alias("path"), F.col("doc_id").alias("block_no"), F.base64("content").alias("value"))
     return decrypt_blocks(blocks, key=KEY).lines
 
 
+@query
+def decrypted_file_lines(spark, sf):
+    """Each source's texts sealed in blocks, written as files, read, opened and written as lines in order."""
+    docs = table(spark, sf, "documents").where("text <> ''")
+    sealed = F.base64(F.aes_encrypt(F.col("text").cast("binary"), F.lit(KEY)))
+    path, out = scratch_dir(spark, "blocks"), scratch_dir(spark, "opened")
+    lines = docs.select("source", F.concat_ws(" ", F.col("doc_id").cast("string"), sealed).alias("value"))
+    lines.repartition("source").write.partitionBy("source").text(path)
+    opened = decrypt_blocks(read_blocks(spark, path), key=KEY).lines
+    write_lines(opened, out, order=("path", "line_no"))
+    return read_lines(spark, out)
+
+
+@query
+def single_file_delivery(spark, sf):
+    """Encrypted columns of one width, delivered as one file with its header."""
+    path = scratch_dir(spark, "single")
+    rows = parse_id_hash(feed(spark, sf, "email_lines")).rows
+    write_lines(rows.select(F.concat_ws(" ", "id", "hash").alias("value")), path, single_file=True)
+    back = spark.read.text(path).withColumn("file", F.input_file_name())
+    return back.agg(F.count_distinct("file").alias("files"), F.count("*").alias("lines"), F.count_distinct("value").alias("different"))
+
+
+@query
+def ciphertext_of_fields(spark, sf):
+    """Equal fields have equal ciphertext, different ones different, and none is its own."""
+    lines = feed(spark, sf, "person_lines")
+    sealed = encrypt_fields(lines, key=KEY, pel_fn=salted_pel(SALT)).rows
+    cipher = sealed.select(F.explode(F.slice("fields", 2, 100)).alias("c")).where("c <> ''")
+    pairs = cipher.select("c", decrypt_field(F.col("c"), KEY).alias("p"))
+    return pairs.agg(
+        F.count("*").alias("fields"),
+        F.count_distinct("p").alias("texts"),
+        F.count_distinct("c").alias("ciphertexts"),
+        F.count_if(F.col("c") == F.col("p")).alias("unchanged"),
+    )
+
+
 # Sources
 
 

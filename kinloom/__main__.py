@@ -24,11 +24,12 @@ from kinloom.plans.match_table import (
     load_match_table_by_length,
     load_match_table_join,
     match_lines,
-    match_lookup,
+    match_requests,
+    parse_requests,
 )
 from kinloom.plans.pii_expansion import expand_pii
 from kinloom.plans.two_way import load_two_way
-from kinloom.session import session
+from kinloom.session import session, staged
 from kinloom.sources.lines import read_files, read_lines
 from kinloom.sources.sinks import write_lines
 from kinloom.sources.snapshots import (
@@ -39,21 +40,35 @@ from kinloom.sources.snapshots import (
 )
 
 
-def _table(spark: SparkSession, args: argparse.Namespace, root: str) -> DataFrame | None:
-    if args.append or not current_version(spark, root):
-        return None
-    return open_snapshot(spark, root)
+class _Table:
+    """The newest version of a table (none for a load that only adds), and the next one."""
 
+    def __init__(self, spark: SparkSession, args: argparse.Namespace, root: str):
+        self.append, self.root = args.append, root
+        self.version = current_version(spark, root)
+        old = self.version and not args.append
+        self.cells: DataFrame | None = open_snapshot(spark, root, self.version) if old else None
 
-def _publish(cells: DataFrame, args: argparse.Namespace, root: str, *, by_key: bool = False):
-    publish = append_snapshot if args.append else publish_snapshot
-    publish(cells, root, by_key=by_key)
+    def publish(self, cells: DataFrame, *, by_key: bool = False) -> None:
+        if self.append:
+            append_snapshot(cells, self.root, by_key=by_key)
+        else:
+            publish_snapshot(cells, self.root, by_key=by_key, after=self.version)
 
 
 def _lines(spark: SparkSession, args: argparse.Namespace, path: str) -> DataFrame:
     return read_lines(spark, path, spread=args.spread)
 
 
+def _once(lines: DataFrame, args: argparse.Namespace) -> DataFrame:
+    """Lines that feed several outputs, copied to the shared folder in one pass.
+
+    Text is read, decompressed and spread once; the copy is columnar and each output
+    parses the part it needs from there.
+    """
+    return staged(lines, "lines")
+
+
 def _save_rejects(rejects: DataFrame, args: argparse.Namespace) -> None:
     if args.rejects:
         rejects.write.parquet(args.rejects)
@@ -79,32 +94,35 @@ def build_mapping(spark, args):
 
 
 def load_mapping(spark, args):
+    table = _Table(spark, args, args.table)
     loaded = load_arl_pel(
-        _lines(spark, args, args.input), _table(spark, args, args.table), family=args.family
+        _lines(spark, args, args.input), table.cells, family=args.family
     )
-    _publish(loaded.table, args, args.table)
+    table.publish(loaded.table)
     _save_rejects(loaded.rejects, args)
 
 
 def load_links(spark, args):
+    forward, reverse = _Table(spark, args, args.forward), _Table(spark, args, args.reverse)
     loaded = load_two_way(
-        _lines(spark, args, args.input),
-        _table(spark, args, args.forward),
-        _table(spark, args, args.reverse),
+        _once(_lines(spark, args, args.input), args),
+        forward.cells,
+        reverse.cells,
         family=args.family,
         delimiter=args.delimiter,
         load_ts=args.load_ts,
     )
-    _publish(loaded.forward, args, args.forward)
-    _publish(loaded.reverse, args, args.reverse)
+    forward.publish(loaded.forward)
+    reverse.publish(loaded.reverse)
     _save_rejects(loaded.rejects, args)
 
 
 def load_matches_join(spark, args):
+    table = _Table(spark, args, args.table)
     loaded = load_match_table_join(
         _lines(spark, args, args.provider),
         _lines(spark, args, args.input),
-        _table(spark, args, args.table),
+        table.cells,
         provider_sha256=args.provider_index,
         kb_clink=args.clink_index,
         kb_md5=args.md5_index,
@@ -114,39 +132,41 @@ def load_matches_join(spark, args):
         family=args.family,
         delimiter=args.delimiter,
     )
-    _publish(loaded.table, args, args.table)
+    table.publish(loaded.table)
     _save_rejects(loaded.rejects, args)
 
 
 def load_matches_by_length(spark, args):
+    table = _Table(spark, args, args.table)
     loaded = load_match_table_by_length(
         _lines(spark, args, args.input),
-        _table(spark, args, args.table),
+        table.cells,
         pel_fn=identity.salted_pel(_secret(spark, args, "salt")),
         family=args.family,
         delimiter=args.delimiter,
     )
-    _publish(loaded.table, args, args.table)
+    table.publish(loaded.table)
     _save_rejects(loaded.rejects, args)
 
 
 def lookup(spark, args):
-    found = match_lookup(
-        _lines(spark, args, args.input),
-        open_snapshot(spark, args.table, merged=False),
-        delimiter=args.delimiter,
-        family=args.family,
-    )
+    # Requests are needed twice, as prefixes and as rows to be answered.
+    lines = _once(_lines(spark, args, args.input), args)
+    requests = parse_requests(lines, delimiter=args.delimiter)
+    table = open_snapshot(spark, args.table, merged=False)
+    found = match_requests(requests.rows, table, family=args.family)
     write_lines(
         match_lines(found), args.output, header=MATCH_HEADER, single_file=args.single_file
     )
+    _save_rejects(requests.rejects, args)
 
 
 def _account(spark, args, job, **options):
+    diff, arl = _Table(spark, args, args.diff), _Table(spark, args, args.arl)
     loaded = job(
-        _lines(spark, args, args.input),
-        _table(spark, args, args.diff),
-        _table(spark, args, args.arl),
+        _once(_lines(spark, args, args.input), args),
+        diff.cells,
+        arl.cells,
         ana=args.ana,
         cid_key=args.cid_key,
         preferred_pel_key=args.preferred_pel_key,
@@ -157,8 +177,8 @@ def _account(spark, args, job, **options):
     )
     # The keys to delete come from diff, so it is published last: a run that is
     # repeated after a failure in between still finds them.
-    _publish(loaded.arl, args, args.arl)
-    _publish(loaded.diff, args, args.diff, by_key=True)
+    arl.publish(loaded.arl)
+    diff.publish(loaded.diff, by_key=True)
     _save_rejects(loaded.rejects, args)
 
 
@@ -192,21 +212,20 @@ def decrypt(spark, args):
         plain = decrypt_blocks(read_blocks(spark, args.input), key=key, charset=args.charset)
     else:
         plain = decrypt_files(read_files(spark, args.input), key=key, charset=args.charset)
-    write_lines(plain.lines, args.output, single_file=args.single_file)
+    write_lines(plain.lines, args.output, single_file=args.single_file, order=("path", "line_no"))
     _save_rejects(plain.rejects, args)
 
 
 def expand(spark, args):
+    table = _Table(spark, args, args.table)
     expanded = expand_pii(
         _lines(spark, args, args.emails),
         _lines(spark, args, args.phones),
-        _table(spark, args, args.table),
+        table.cells,
         region=args.region,
-        load_id=str(args.load_ts),
         load_ts=args.load_ts,
-        pair_limit=args.pair_limit,
     )
-    _publish(expanded.table, args, args.table, by_key=True)
+    table.publish(expanded.table, by_key=True)
     _save_rejects(expanded.rejects, args)
 
 
@@ -221,8 +240,10 @@ def parser() -> argparse.ArgumentParser:
         for name in required:
             sub.add_argument(f"--{name}", required=True)
         sub.add_argument("--rejects", help="folder for the lines left out")
-        sub.add_argument("--spread", type=int, help="partitions to spread gzip input over")
-        sub.add_argument("--load-ts", type=int, default=int(time.time() * 1_000_000))
+        if function is not decrypt:
+            sub.add_argument("--spread", type=int, help="partitions to spread gzip input over")
+        if function in (load_links, account_load, account_refresh, expand):
+            sub.add_argument("--load-ts", type=int, default=int(time.time() * 1_000_000))
         return sub
 
     def positions(sub, **defaults):
@@ -289,7 +310,6 @@ def parser() -> argparse.ArgumentParser:
     flag(sub, "single-file", "blocks")
 
     sub = job(expand, "id hash lines -> expansion table", "emails", "phones", "table", "region")
-    sub.add_argument("--pair-limit", type=int, default=256)
     flag(sub, "append")
     return top
 

@@ -39,8 +39,13 @@ def is_clink(text: Column) -> Column:
 
 
 def secret(secrets: DataFrame, name: str) -> Column:
-    """One value of a ``(name, value)`` table, read once and sent to every task."""
-    return secrets.where(F.col("name") == name).agg(F.max("value")).scalar()
+    """One value of a ``(name, value)`` table, read once and sent to every task.
+
+    The job fails unless the table has exactly one value of that name.
+    """
+    fault = F.raise_error(F.lit(f"there must be one secret named {name!r}")).cast("string")
+    once = (F.count("*") == 1) & (F.count("value") == 1)
+    return secrets.where(F.col("name") == name).agg(F.when(once, F.max("value")).otherwise(fault)).scalar()
 
 
 def salted_pel(salt: Secret) -> PelFn:

@@ -7,37 +7,33 @@ from pyspark.sql import functions as F
 
 
 def last_row_by_prefix(cells: DataFrame, prefixes: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """``prefix, row_key`` and the given columns of the last row under each prefix.
+    """``prefix, row_key`` and the given columns of the last row under each prefix asked for.
 
-    ``prefixes`` has one string column; only its distinct lengths are used here,
-    so the result also holds prefixes of those lengths that were not asked for.
-    ``columns`` maps names to conditions on ``family`` and ``qualifier``.
+    ``prefixes`` has one string column; ``columns`` maps names to conditions on
+    ``family`` and ``qualifier``. Two steps:
 
-    A prefix match is an equality on the key cut to the prefix length. The
-    distinct lengths are a scalar subquery (at most one entry per character of
-    the longest key), and each cell is repeated once per length. One aggregation
-    then finds the greatest row key and, per column, the greatest (row key,
-    timestamp, value); a column counts only if it comes from that row. Partial
-    aggregation leaves one row per prefix and task, so a prefix that covers a
-    third of the table is no hot spot.
+    1. A prefix match is an equality on the key cut to the prefix length. Row keys
+       alone are read and cut to the distinct lengths that were asked for (a scalar
+       subquery, without those above the longest key), and the greatest key of each
+       prefix is kept. That is combined before the shuffle, so a prefix that covers a
+       third of the table is no hot spot. Prefixes nobody asked for end here.
+    2. The cells of the keys found are fetched and reduced to the newest per column.
     """
     (name,) = prefixes.columns
-    lengths = prefixes.agg(F.collect_set(F.length(name))).scalar()
-    cut = cells.withColumn("__n", F.explode(lengths)).where(F.col("__n") <= F.length("row_key"))
-    found = {
-        column: F.max(F.when(here, F.struct("row_key", "ts_micros", "value")))
-        for column, here in columns.items()
-    }
-    best = (
-        cut.withColumn("prefix", F.substring(F.col("row_key"), F.lit(1), F.col("__n")))
-        .groupBy("prefix")
-        .agg(F.max("row_key").alias("row_key"), *[c.alias(f"__{n}") for n, c in found.items()])
+    asked = prefixes.where(F.col(name).isNotNull()).select(F.col(name).alias("prefix")).distinct()
+    longest = cells.agg(F.max(F.length("row_key"))).scalar()
+    lengths = asked.where(F.length("prefix") <= longest).agg(F.collect_set(F.length("prefix"))).scalar()
+    cut = cells.select("row_key", F.explode(lengths).alias("n")).where(F.col("n") <= F.length("row_key"))
+    last = (
+        cut.groupBy(F.substring(F.col("row_key"), F.lit(1), F.col("n")).alias("prefix"))
+        .agg(F.max("row_key").alias("row_key"))
+        .join(asked, "prefix", "left_semi")
     )
-    return best.select(
-        "prefix",
-        "row_key",
-        *[
-            F.when(F.col(f"__{n}.row_key") == F.col("row_key"), F.col(f"__{n}.value")).alias(n)
-            for n in columns
-        ],
+    newest = {n: F.max(F.when(here, F.struct("ts_micros", "value"))) for n, here in columns.items()}
+    rows = (
+        cells.join(last.select("row_key").distinct(), "row_key", "left_semi")
+        .groupBy("row_key")
+        .agg(*[c.alias(n) for n, c in newest.items()])
+        .select("row_key", *[F.col(f"{n}.value").alias(n) for n in columns])
     )
+    return last.join(rows, "row_key").select("prefix", "row_key", *columns)

@@ -74,7 +74,7 @@ def parse_account_lines(
     The pseudonymous id is the value of the preferred key where that key is
     present, else the greatest value that looks like one. Blank lines are
     skipped. ``strict`` fails the job on a malformed line instead of rejecting
-    it. ``delimiter=None`` infers the separator from one line.
+    it. ``delimiter=None`` infers the separator from all lines.
     """
     if delimiter is None:
         delimiter = infer_delimiter(lines)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,23 +33,3 @@ def salted_join(
         .join(salted, [key, _SALT], how)
         .drop(_SALT)
     )
-
-
-class BySize(NamedTuple):
-    small: DataFrame
-    large: DataFrame
-
-
-def split_by_group_size(
-    rows: DataFrame, key: str, size: Column, limit: int, *, spread_by: Column, salts: int = 32
-) -> BySize:
-    """Separate the rows of groups whose aggregate ``size`` is at most ``limit`` from the rest.
-
-    Sizes are counted with partial aggregation and only the keys above the limit
-    are joined back, so no group is ever gathered to learn its size.
-    """
-    big = rows.groupBy(key).agg(size.alias("size")).where(F.col("size") > limit).select(key)
-    return BySize(
-        salted_join(rows, big, key, spread_by=spread_by, salts=salts, how="left_anti"),
-        salted_join(rows, big, key, spread_by=spread_by, salts=salts, how="left_semi"),
-    )

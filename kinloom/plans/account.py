@@ -23,6 +23,7 @@ from kinloom.operators.cells import (
     to_cells,
 )
 from kinloom.operators.parse import parse_account_lines
+from kinloom.sources.lines import infer_delimiter
 
 
 class AccountTables(NamedTuple):
@@ -131,6 +132,9 @@ def account_refresh_full(
     """
     _check_account(ana)
     prefix = account_prefix(ana, match)
+    if delimiter is None:
+        # Lines read with the wrong one are all rejected, which would empty the account.
+        delimiter = infer_delimiter(lines, agreed=True)
     parsed = parse_account_lines(
         lines,
         cid_key=cid_key,

@@ -30,7 +30,6 @@ def encrypt_fields(
     cipher: Cipher = encrypt_field,
     translate_clink: bool = True,
     delimiter: str = ",",
-    max_width: int | None = None,
     observation: Observation | None = None,
 ) -> Parsed:
     """Rows of one array column ``fields``, as wide as the line was.
@@ -47,8 +46,6 @@ def encrypt_fields(
         lambda x: F.when(is_blank(x), F.lit("")).otherwise(cipher(x, F.col("key"))),
     )
     faults = {"invalid_id": ~valid(first)}
-    if max_width is not None:
-        faults["too_wide"] = F.size(fields) > max_width
     # The key is a column first: it may be a subquery, which a lambda cannot hold.
     split = split_all(F.col("value"), delimiter).alias("fields")
     return divide(
@@ -75,8 +72,7 @@ def encrypt_columns(
 ) -> Parsed:
     """The fourteen named columns; short lines are filled with blanks.
 
-    Lines with more fields than names are rejected as ``too_wide``; write
-    ``encrypted_lines`` instead to keep any width.
+    Fields beyond the named ones are in the array column ``surplus``.
     """
     encrypted = encrypt_fields(
         lines,
@@ -84,11 +80,13 @@ def encrypt_columns(
         pel_fn=pel_fn,
         cipher=cipher,
         translate_clink=translate_clink,
-        max_width=len(HEADER_COLUMNS),
         observation=observation,
     )
     columns = [
         F.coalesce(F.get("fields", F.lit(i)), F.lit("")).alias(name)
         for i, name in enumerate(HEADER_COLUMNS)
     ]
+    named = len(HEADER_COLUMNS)
+    surplus = F.when(F.size("fields") > named, F.slice("fields", named + 1, F.size("fields")))
+    columns.append(F.coalesce(surplus, F.array().cast("array<string>")).alias("surplus"))
     return Parsed(encrypted.rows.select(*columns), encrypted.rejects)

@@ -118,16 +118,20 @@ def parse_requests(
     )
 
 
-def match_lookup(
-    lines: DataFrame,
+def match_lookup(lines: DataFrame, table: DataFrame, *, delimiter: str = ",", **options) -> DataFrame:
+    """``cookie,pel`` lines -> ``cookie, md5, sha1, sha256`` (see ``match_requests``)."""
+    return match_requests(parse_requests(lines, delimiter=delimiter).rows, table, **options)
+
+
+def match_requests(
+    requests: DataFrame,
     table: DataFrame,
     *,
-    delimiter: str = ",",
     family: str = HASH_FAMILY,
     blank_matches_all: bool = False,
     salts: int = 8,
 ) -> DataFrame:
-    """``cookie,pel`` lines -> ``cookie, md5, sha1, sha256``.
+    """``cookie, pel`` rows -> ``cookie, md5, sha1, sha256``.
 
     The row with the greatest key that starts with the given id supplies all
     three hashes. Hashes filed under the wrong name are put right by length.
@@ -135,9 +139,7 @@ def match_lookup(
     id finds nothing unless ``blank_matches_all``.
     """
     asked = F.col("pel") if blank_matches_all else F.when(F.col("pel") != "", F.col("pel"))
-    requests = parse_requests(lines, delimiter=delimiter).rows.select(
-        "cookie", asked.alias("prefix")
-    )
+    requests = requests.select("cookie", asked.alias("prefix"))
     prefixes = requests.select("prefix").where(F.col("prefix").isNotNull())
 
     def filed_as(name: str) -> Column:
@@ -145,11 +147,7 @@ def match_lookup(
 
     found = last_row_by_prefix(table, prefixes, {name: filed_as(name) for name in HASH_COLUMNS})
     filed = F.array(*[F.col(name) for name in HASH_COLUMNS])
-    # Both sides are hashed by prefix already, so this costs no shuffle and leaves
-    # at most one row per id asked for.
-    repaired = found.join(prefixes.distinct(), "prefix", "left_semi").select(
-        "prefix", *[hashed.alias(name) for name, hashed in hashes_by_length(filed).items()]
-    )
+    repaired = found.select("prefix", *[hashed.alias(name) for name, hashed in hashes_by_length(filed).items()])
     # One id, or no id, may be asked for by a large share of the requests.
     return salted_join(
         requests, repaired, "prefix", spread_by=F.col("cookie"), how="left", salts=salts

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # Runtime re-planning: coalesce small shuffle partitions, split skewed join
@@ -37,12 +36,16 @@ def session(app: str, *, shuffle_partitions: int | None = None, **settings: str)
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, which every executor can reach.
 
-    A machine-local folder is used only where the setting is absent and the
-    session is local.
+    The setting is required: a machine's own folder is no place for tables.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="kinloom-")
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
     return f"{root.rstrip('/')}/kinloom/{label}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: what follows starts from there."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinloom.functions.text import is_blank
-
 DELIMITERS = (",", "|", ";", "\t")
 
 
@@ -27,13 +25,21 @@ def read_files(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.format("binaryFile").load(list(paths)).select("path", "length", "content")
 
 
-def infer_delimiter(lines: DataFrame) -> str:
-    """The separator that occurs most in one non-blank line, outside quotes.
+def infer_delimiter(lines: DataFrame, *, agreed: bool = False) -> str:
+    """The separator that is most frequent, outside quotes, in most lines.
 
-    One line is fetched; ties go to the first of comma, pipe, semicolon, tab.
+    Every line that has any separator votes for the one it has most of; ties, in a
+    line and among lines, go to the first of comma, pipe, semicolon, tab. This is one
+    aggregation over all lines. ``agreed`` fails if less than half of the votes are
+    for the winner.
     """
-    first = lines.select("value").where(~is_blank(F.col("value"))).first()
-    if first is None:
-        return DELIMITERS[0]
-    outside = "".join(first["value"].split('"')[::2])
-    return max(DELIMITERS, key=outside.count)
+    outside = F.regexp_replace("value", '"[^"]*("|$)', "")
+    counts = [F.length(outside) - F.length(F.replace(outside, F.lit(d), F.lit(""))) for d in DELIMITERS]
+    counted = lines.select(F.array(*counts).alias("n"))
+    most = F.array_max("n")
+    vote = F.when(most > 0, F.array_position("n", most))
+    votes = counted.agg(*[F.count_if(vote == i).alias(str(i)) for i, _ in enumerate(DELIMITERS, 1)]).first()
+    best = max(range(len(DELIMITERS)), key=votes.__getitem__)
+    if agreed and 2 * votes[best] < sum(votes):
+        raise ValueError(f"the lines do not agree on a delimiter: {dict(zip(DELIMITERS, votes, strict=True))}")
+    return DELIMITERS[best]

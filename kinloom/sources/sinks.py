@@ -12,18 +12,29 @@ def join_fields(delimiter: str, *fields: Column) -> Column:
 
 
 def write_lines(
-    lines: DataFrame, path: str, *, header: str | None = None, single_file: bool = False
+    lines: DataFrame,
+    path: str,
+    *,
+    header: str | None = None,
+    single_file: bool = False,
+    order: tuple[str, ...] = (),
 ) -> None:
     """Write ``value`` as text, unquoted, with an optional header line per file.
 
     By default every task writes its own file. ``single_file`` sends the
     finished lines to one writer through a shuffle, so the work before it keeps
-    its parallelism; use it only for small deliveries. Under a header a line
-    must not be empty, as delimited records never are.
+    its parallelism; use it only for small deliveries. With ``order`` lines are
+    written in the order of those columns, in a file and from one file to the next.
+    Under a header a line must not be empty, as delimited records never are.
     """
-    out = lines.select("value")
+    out = lines
     if single_file:
         out = out.repartition(1)
+    elif order:
+        out = out.repartitionByRange(*order)
+    if order:
+        out = out.sortWithinPartitions(*order)
+    out = out.select("value")
     if header is None:
         out.write.text(path)
         return

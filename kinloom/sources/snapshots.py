@@ -1,9 +1,9 @@
 """Versioned cell tables on a shared file system.
 
 ``<root>/data/<version>-<id>`` holds the Parquet files of one version,
-``<root>/log`` one small JSON row per published version. A reader follows the
-log, so a version becomes visible at once and only after it is complete; a job
-that dies half-way leaves the previous version in place.
+``<root>/log`` one small JSON file per published version, named by its number. A
+reader follows the log, so a version becomes visible at once and only after it is
+complete; a job that dies half-way leaves the previous version in place.
 
 A version is either the whole table or an addition: the cells written by one
 load. A load of a small batch into a large table adds its cells instead of
@@ -12,8 +12,10 @@ writing the table anew, and publishes the whole table once in a while.
 
 from __future__ import annotations
 
+import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +27,7 @@ _LOG_SCHEMA = "version bigint, path string, whole boolean"
 
 def _log(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        return spark.read.schema(_LOG_SCHEMA).json(f"{root}/log")
+        return spark.read.schema(_LOG_SCHEMA).json(f"{root}/log").where("version is not null")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -48,54 +50,66 @@ def open_snapshot(
     prefix lookup and ``linked_hashes`` give the same result on unmerged cells.
     """
     log = _log(spark, root)
+    entries = []
     if log is not None:
         log = log.where(F.col("version") <= (version or F.col("version")))
-        # One row per published version.
-        entries = sorted(log.collect(), key=lambda e: (e["version"], e["path"]))
-    if log is None or not entries or (version and entries[-1]["version"] != version):
+        last = log.agg(F.max(F.when(F.col("whole"), F.col("version")))).first()[0] or 0
+        # One row for the last whole version and each addition since.
+        entries = sorted(log.where(F.col("version") >= last).collect(), key=lambda e: e["version"])
+    if not entries or (version and entries[-1]["version"] != version):
         raise ValueError(f"no such snapshot under {root}")
-    whole = [i for i, entry in enumerate(entries) if entry["whole"]]
-    paths = [f"{root}/{entry['path']}" for entry in entries[whole[-1] if whole else 0 :]]
+    paths = [f"{root}/{entry['path']}" for entry in entries]
     cells = spark.read.parquet(*paths)
     return latest(cells) if merged and len(paths) > 1 else cells
 
 
-def publish_snapshot(cells: DataFrame, root: str, *, by_key: bool = False) -> int:
+def publish_snapshot(cells: DataFrame, root: str, *, by_key: bool = False, after: int | None = None) -> int:
     """Write ``cells`` as the whole table, then log it as the next version.
 
     By default the partitioning of the plan is written as it is. ``by_key`` adds
     a range shuffle by the full cell address and sorts, so that a prefix scan
     prunes files and row groups by their key statistics; the full address also
     splits a row that holds very many cells. It pays for tables that are scanned
-    by prefix.
+    by prefix. ``after`` is the version ``cells`` were made from: if another one
+    has been published since, this fails and that one stays.
     """
-    return _publish(cells, root, by_key, whole=True)
+    return _publish(cells, root, by_key, after, whole=True)
 
 
 def append_snapshot(puts: DataFrame, root: str, *, by_key: bool = False) -> int:
     """Log ``puts`` as an addition to the table; the work is that of the batch."""
-    return _publish(puts, root, by_key, whole=False)
+    return _publish(puts, root, by_key, None, whole=False)
 
 
-def _publish(cells: DataFrame, root: str, by_key: bool, whole: bool) -> int:
+def _publish(cells: DataFrame, root: str, by_key: bool, after: int | None, whole: bool) -> int:
     spark = cells.sparkSession
-    version = current_version(spark, root) + 1
+    version = (current_version(spark, root) if after is None else after) + 1
     path = f"data/{version}-{uuid.uuid4().hex}"
     cells = cells.select(CELL)
     if by_key:
         cells = cells.repartitionByRange(*ADDRESS).sortWithinPartitions(*ADDRESS)
     cells.write.parquet(f"{root}/{path}")
-    entry = spark.range(1).select(
-        F.lit(version).cast("bigint").alias("version"),
-        F.lit(path).alias("path"),
-        F.lit(whole).alias("whole"),
-    )
-    entry.coalesce(1).write.mode("append").json(f"{root}/log")
-    if _log(spark, root).where(F.col("version") == version).count() > 1:
-        raise RuntimeError(f"two jobs published version {version} of {root}; run this one again")
+    _claim(spark, root, version, {"version": version, "path": path, "whole": whole})
     return version
 
 
+def _claim(spark: SparkSession, root: str, version: int, entry: dict) -> None:
+    """Make the log entry of a version, unless it has one: the moment it is published.
+
+    The file system creates a file for one writer only, so of two jobs that publish
+    the same version one fails and readers never see its data.
+    """
+    jvm = spark.sparkContext._jvm
+    file = jvm.org.apache.hadoop.fs.Path(f"{root}/log/{version:020d}.json")
+    files = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        out = files.create(file, False)
+    except Py4JJavaError as error:
+        raise RuntimeError(f"version {version} of {root} has been published by another job; run this one again") from error
+    out.write(bytearray(json.dumps(entry).encode() + b"\n"))
+    out.close()
+
+
 def save_bucketed(cells: DataFrame, table: str, buckets: int, *, path: str | None = None) -> None:
     """Save as a catalog table bucketed by cell address.
 

@@ -7,6 +7,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from check import local_scratch  # noqa: E402
 from kinloom.session import session  # noqa: E402
 
 
@@ -16,6 +17,7 @@ def spark():
         "spark.master": "local[4]",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        **local_scratch(),
     }
     built = session("tests", shuffle_partitions=4, **settings)
     built.sparkContext.setLogLevel("ERROR")

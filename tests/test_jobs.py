@@ -81,7 +81,9 @@ def test_match_table_and_lookup(work, spark):
              secrets=work.secrets)
     c, e = (one(spark, salted_pel("s")(F.lit(x))) for x in "ce")
     requests = work.put("requests", f"c1,{c[:20]}", f"c2, {e}", "c3,", "c4")
-    work.run("lookup", "--single-file", input=requests, table=work.path("m"), output=work.path("out"))
+    work.run("lookup", "--single-file", input=requests, table=work.path("m"), output=work.path("out"),
+             rejects=work.path("bad"))
+    assert tuples(spark.read.parquet(work.path("bad"))) == [("c4", "width")]
     first, *rest = work.lines("out")
     assert first == MATCH_HEADER
     assert sorted(rest) == [f"c1|{MD5}|{SHA1}|{SHA256}", f"c2||{SHA1}|", "c3|||"]
@@ -140,11 +142,30 @@ def test_decrypted_files(work, spark, tmp_path):
     sealed = one(spark, F.aes_encrypt(F.lit("x\ny"), F.lit(KEY)))
     (tmp_path / "in.enc").write_bytes(sealed)
     work.run("decrypt", input=work.path("in.enc"), output=work.path("out"), secrets=work.secrets)
-    assert sorted(work.lines("out")) == ["x", "y"]
+    assert work.lines("out") == ["x", "y"]
+
+
+def test_a_refresh_that_does_not_fit_leaves_the_account(work, spark):
+    common = dict(diff=work.path("d"), arl=work.path("a"), secrets=work.secrets, cid_key="CID", ana=12)
+    work.run("account-load", input=work.put("a1", "CID=a,P=XY1"), **common)
+    # The first line has no separator; all others agree.
+    odd = work.put("a2", "CID=a", *[f"CID=c{i};P=XY{i}" for i in range(5)])
+    work.run("account-refresh", input=odd, **common)
+    assert work.table("d").count() == 5
+    mixed = work.put("a3", "CID=a,P=XY1", "CID=b;P=XY1", "CID=c|P=XY1")
+    with pytest.raises(ValueError, match="do not agree"):
+        work.run("account-refresh", input=mixed, **common)
+    assert work.table("d").count() == 5
+
+
+def test_options_act():
+    for job, option in (("decrypt", "--spread"), ("lookup", "--load-ts"), ("expand", "--pair-limit")):
+        with pytest.raises(SystemExit):
+            main([job, option, "1"])
 
 
 def test_expansion(work, spark):
-    options = dict(table=work.path("t"), region="ES", pair_limit=2)
+    options = dict(table=work.path("t"), region="ES")
     work.run("expand", emails=work.put("e", "1 a", "1 b", "1 c"), phones=work.put("p", "2 d", "2 e"), **options)
     keys = spark.createDataFrame([("email", "a"), ("phone", "d")], "type string, hash string")
     assert tuples(linked_hashes(work.table("t"), keys, region="ES")) == [

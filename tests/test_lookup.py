@@ -113,3 +113,17 @@ def test_hot_id_is_split_by_adaptive_execution(spark, setting):
     assert df.where("md5 <> ''").count() == 40_000
     df.collect()
     assert "SortMergeJoin(skew=true)" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_keys_are_cut_to_prefixes(spark, lines, setting, tmp_path):
+    setting(spark__sql__autoBroadcastJoinThreshold="-1")
+    rows = spark.range(50).select(F.concat(F.lit("X"), "id").alias("k"), F.md5(F.col("id").cast("string")).alias("h"))
+    path = str(tmp_path / "cells")
+    to_cells(rows, row_key=F.col("k"), family="hashes", columns={"md5": F.col("h")}).write.parquet(path)
+    df = match_lookup(lines(["c,X1", "d," + "X" * 40]), spark.read.parquet(path))
+    assert df.count() == 2
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "ReadSchema" in line]
+    assert any("struct<row_key:string>" in line for line in scans)
+    generate = [line for line in plan.splitlines() if "Generate explode(" in line]
+    assert generate and all("value" not in line and "ts_micros" not in line for line in generate)

@@ -62,6 +62,8 @@ def test_delimiter_is_inferred_outside_quotes(lines):
     assert infer_delimiter(lines(["A=1;B=2;C=3,4"])) == ";"
     assert infer_delimiter(lines(["A=1"])) == ","
     assert infer_delimiter(lines([" "])) == ","
+    assert infer_delimiter(lines([])) == ","
+    assert infer_delimiter(lines(["A=1", "A=1,B=2", "A=1;B=2", "A=3;B=2"])) == ";"
     assert tuples(account(lines, "CID=7\tP=XY1", delimiter=None).rows) == [("7", "XY1")]
 
 

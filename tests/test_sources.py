@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kinloom.fixed import MATCH_HEADER
 from kinloom.plans.recent_pels import recent_pels
-from kinloom.session import scratch_dir
+from kinloom.session import scratch_dir, staged
 from kinloom.sources.lines import read_lines
 from kinloom.sources.sinks import join_fields, write_lines
 from kinloom.sources.snapshots import (
@@ -105,6 +105,21 @@ def test_a_failed_publish_leaves_the_table_as_it_was(spark, tmp_path):
     assert publish_snapshot(good, root) == 2
 
 
+def test_of_two_writers_of_a_version_one_fails_and_readers_keep_the_other(spark, tmp_path):
+    root = str(tmp_path / "table")
+
+    def cells(key):
+        return spark.createDataFrame([(key, "f", "q", 1, "x")], SCHEMA)
+
+    publish_snapshot(cells("a"), root)
+    first, second = open_snapshot(spark, root).unionByName(cells("b")), open_snapshot(spark, root).unionByName(cells("c"))
+    assert publish_snapshot(first, root, after=1) == 2
+    with pytest.raises(RuntimeError, match="another job"):
+        publish_snapshot(second, root, after=1)
+    assert tuples(open_snapshot(spark, root).select("row_key")) == [("a",), ("b",)]
+    assert publish_snapshot(open_snapshot(spark, root), root, after=2) == 3
+
+
 def test_key_order_lets_a_prefix_scan_skip_files(spark, setting, tmp_path):
     setting(spark__sql__adaptive__coalescePartitions__enabled="false")
     root = str(tmp_path / "table")
@@ -125,6 +140,7 @@ def test_key_order_lets_a_prefix_scan_skip_files(spark, setting, tmp_path):
 
 
 def test_scratch_is_under_the_shared_folder(spark):
+    assert staged(spark.range(3), "x").count() == 3
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/"))
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
 
