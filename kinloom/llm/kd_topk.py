@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from kinloom.session import staged
-from kinloom.llm.vectors import finite, matrix
+from kinloom.llm.vectors import SQL, finite, matrix
 
 HIT = T.StructType([T.StructField(n, T.LongType()) for n in ("query_id", "vec_id", "score")])
 #: Scaled components of this size or more take no part: sums of products must fit a long.
@@ -151,3 +151,12 @@ def top_k(
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     best = home.union(others).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", "score")
+
+
+def oracle(every: int = 50, k: int = 5, scale: int = 256) -> str:
+    """The same rows by DuckDB, every pair measured."""
+    return f"""WITH {SQL}, i AS (SELECT vec_id, list_transform(e, lambda x: floor({scale} * x)) AS e FROM v),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM i q JOIN i c ON q.vec_id <> c.vec_id WHERE q.vec_id % {every} = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM p QUALIFY rank <= {k}"""

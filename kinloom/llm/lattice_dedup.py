@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from kinloom.session import staged
 from kinloom.llm.components import connected
-from kinloom.llm.vectors import finite
+from kinloom.llm.vectors import SQL, finite
 
 #: The 240 shortest vectors of E8, all of length sqrt(2): the neighbouring cells.
 NEIGHBOURS = np.array(
@@ -172,3 +172,15 @@ def near_duplicates(
         own_id.alias("component_id"),
         F.col("vec_id").eqNullSafe(own_id).alias("kept"),
     )
+
+
+def oracle(threshold: float = 0.95) -> str:
+    """The same rows by DuckDB, every pair measured."""
+    return f"""WITH RECURSIVE {SQL},
+n AS (SELECT vec_id, e FROM v WHERE list_inner_product(e, e) > 0),
+l AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b
+  ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= {threshold}),
+r AS (SELECT vec_id, vec_id AS c FROM embeddings UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.vec_id)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+  FROM (SELECT vec_id, min(c) AS component_id FROM r GROUP BY vec_id)
+  LEFT JOIN (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a) USING (vec_id)"""

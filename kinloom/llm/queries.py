@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinloom.llm import line_dedup, mixing, secret_scan
+from kinloom.llm import kd_topk, lattice_dedup, line_dedup, mixing, secret_scan, suffix_dedup
 from kinloom.llm.common import documents
 from kinloom.llm.crf_quality import quality_scores, train
 from kinloom.llm.kd_topk import top_k
@@ -84,6 +84,9 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_suffix_dedup": suffix_dedup.oracle(),
+    "op7_exact_top_k": kd_topk.oracle(),
+    "op9_embedding_near_dedup": lattice_dedup.oracle(),
     "op2_mixing": mixing.oracle(),
     "op4_line_dedup": line_dedup.oracle(),
     "op8_secret_scan": secret_scan.oracle(),

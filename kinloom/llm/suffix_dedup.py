@@ -363,3 +363,20 @@ def remove_repeats(docs: DataFrame, length: int = 100, k: int = 32) -> DataFrame
     joined = dealt.join(found.hint("shuffle_hash"), ["_id", "_t"], "left")
     out = joined.mapInPandas(cut, "_id long, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary")
     return out.select(F.expr(f"nullif(_id, {LEAST_ID + 1} - 1)").alias("doc_id"), "n_bytes", "spans", "kept")
+
+
+def oracle(table: str = "documents", length: int = 100) -> str:
+    """Every window of every text by DuckDB, bytes as two hex digits each."""
+    return f"""WITH h AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM {table}),
+w AS (SELECT doc_id, i, md5(substr(x, 2 * i + 1, {2 * length})) AS s
+  FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2 - {length - 1})) AS i FROM h)),
+d AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS r FROM w) WHERE r > 1),
+g AS (SELECT doc_id, i, sum(CAST(i > before + {length} AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS n
+  FROM (SELECT doc_id, i, coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -{2 * length}) AS before FROM d)),
+r AS MATERIALIZED (SELECT doc_id, min(i) AS a, max(i) + {length} AS b FROM g GROUP BY doc_id, n),
+k AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS f, a AS t FROM r
+  UNION ALL SELECT doc_id, coalesce(max(b), 0), length(any_value(x)) // 2 FROM h LEFT JOIN r USING (doc_id) GROUP BY doc_id),
+t AS (SELECT doc_id, string_agg(substr(x, 2 * f + 1, 2 * (t - f)), '' ORDER BY f) AS kept FROM k JOIN h USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, length(x) // 2 AS n_bytes, (length(x) - length(kept)) // 2 AS n_removed,
+       coalesce(n, 0) AS n_spans, sha256(unhex(kept)) AS kept_sha256
+  FROM h JOIN t USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM r GROUP BY doc_id) USING (doc_id)"""

@@ -23,3 +23,8 @@ def matrix(vectors: pd.Series, width: int = 0) -> np.ndarray:
     for i, v in enumerate(vectors):
         out[i, : len(v)] = v
     return out
+
+
+#: Usable vectors as doubles, for oracles in DuckDB; vec_id is unique there.
+SQL = """v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding))"""
