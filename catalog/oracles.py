@@ -84,7 +84,7 @@ groups AS (
             bit_xor(CAST('0x' || substr(md5(hash || '|' || e || '|' || p), 1, 15) AS BIGINT)) AS mark
           FROM entries GROUP BY id) WHERE n > 1),
 listed AS (
-    SELECT group_key, kind, hash, e AND p AS both
+    SELECT group_key, kind, hash, e AND p AS in_both
     FROM owned JOIN entries USING (id, hash) JOIN groups USING (id))"""
 _ASKED = """SELECT DISTINCT 'email' AS kind, sha256('e' || CAST(s_suppkey - s_suppkey % 4 AS STRING)) AS hash FROM supplier
     UNION ALL SELECT DISTINCT 'phone', sha256('p' || CAST(s_suppkey - s_suppkey % 6 AS STRING)) FROM supplier"""
@@ -229,7 +229,7 @@ ORACLES: dict[str, str] = {
         SELECT DISTINCT '{REGION}#' || kind || '#' || hash AS row_key, 'group' AS family, group_key AS qualifier,
             2000::BIGINT AS ts_micros, '' AS value FROM listed
         UNION ALL
-        SELECT group_key, kind, hash, 2000::BIGINT, CASE WHEN both THEN 'both' ELSE '' END FROM listed""",
+        SELECT group_key, kind, hash, 2000::BIGINT, CASE WHEN in_both THEN 'both' ELSE '' END FROM listed""",
     "pii_expansion_rejects": f"WITH {_PEOPLE} SELECT value, 'width' AS reason FROM words WHERE len(w) <> 2",
     "pii_expansion_lookup": f"""WITH {_PEOPLE}, asked AS ({_ASKED})
         {_pairs('owned', 'SELECT o.* FROM owned o JOIN (SELECT DISTINCT kind, hash FROM asked) USING (kind, hash)')}""",

@@ -615,7 +615,8 @@ def decrypt_blocks_lines(spark, sf):
 def decrypted_file_lines(spark, sf):
     """Each source's texts sealed in blocks, written as files, read, opened and written as lines in order."""
     docs = table(spark, sf, "documents").where("text <> ''")
-    sealed = F.base64(F.aes_encrypt(F.col("text").cast("binary"), F.lit(KEY)))
+    # Spark breaks base64 into lines; a block is one line.
+    sealed = F.translate(F.base64(F.aes_encrypt(F.col("text").cast("binary"), F.lit(KEY))), "\r\n", "")
     path, out = scratch_dir(spark, "blocks"), scratch_dir(spark, "opened")
     lines = docs.select("source", F.concat_ws(" ", F.col("doc_id").cast("string"), sealed).alias("value"))
     lines.repartition("source").write.partitionBy("source").text(path)
