@@ -69,6 +69,8 @@ class Chain:
 
     weights: np.ndarray
     steps: np.ndarray
+    #: Slope and shift that turn the log odds of a mean into those of the document's label.
+    calibration: tuple[float, float] = (1.0, 0.0)
 
     def marginals(self, features: np.ndarray) -> np.ndarray:
         """The probability of each line being good, given all lines: forward and backward."""
@@ -94,10 +96,14 @@ class Chain:
             back_b, back_g = back_b / total, back_g / total
         return np.array(out)
 
+    def odds(self, features: np.ndarray, sizes: np.ndarray) -> float:
+        """Log odds of the mean probability of good lines, weighted by their lengths."""
+        mean = np.clip(self.marginals(features) @ sizes / sizes.sum(), 1e-6, 1 - 1e-6)
+        return float(np.log(mean / (1 - mean)))
+
     def score(self, text: str) -> float:
-        """The mean probability of good lines, weighted by their lengths."""
-        features, sizes = line_features(text)
-        return float(np.clip(self.marginals(features) @ sizes / sizes.sum(), 0, 1))
+        slope, shift = self.calibration
+        return float(1 / (1 + np.exp(-np.clip(slope * self.odds(*line_features(text)) + shift, -30, 30))))
 
 
 def fit(features: list[np.ndarray], labels: np.ndarray, rounds: int = 150, rate: float = 0.15, shrink: float = 1e-3) -> Chain:
@@ -158,7 +164,26 @@ def fit(features: list[np.ndarray], labels: np.ndarray, rounds: int = 150, rate:
         slope -= shrink * parameters
         mean, spread = 0.9 * mean + 0.1 * slope, 0.99 * spread + 0.01 * slope**2
         parameters += rate * (mean / (1 - 0.9**k)) / (np.sqrt(spread / (1 - 0.99**k)) + 1e-9)
-    return Chain(parameters[:WIDTH], parameters[WIDTH:].reshape(2, 2))
+    chain = Chain(parameters[:WIDTH], parameters[WIDTH:].reshape(2, 2))
+    odds = np.array([chain.odds(f.astype(float), np.expm1(8.0 * f[:, 0]) + 1) for f in features])
+    chain.calibration = calibrated(odds, labels)
+    return chain
+
+
+def calibrated(odds: np.ndarray, labels: np.ndarray, shrink: float = 1e-3) -> tuple[float, float]:
+    """Logistic regression of the label on the log odds, both labels weighing alike.
+
+    Every document of a bad kind may open with good lines, so the mean at which labels
+    change is not one half.
+    """
+    x = np.stack([odds, np.ones_like(odds)], axis=1)
+    w = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum()))
+    b = np.array([1.0, 0.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
+        slope = x.T @ (w * (labels - p)) - shrink * (b - [1.0, 0.0])
+        b = b + np.linalg.solve((x.T * (w * p * (1 - p))) @ x + shrink * np.eye(2), slope)
+    return max(float(b[0]), 0.1), float(b[1])
 
 
 def held_out(doc_id: Column) -> Column:
