@@ -89,8 +89,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+# The reader's setting for tables of fewer row groups than the machine has cores.
+FEED_PARTITIONS = "spark.kinloom.feedPartitions"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over as many partitions as the setting names; as they were read where it is not set."""
+    partitions = df.sparkSession.conf.get(FEED_PARTITIONS, None)
+    return df.repartition(int(partitions)) if partitions else df
+
+
 def feed(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.sql(feed_sql(name, "spark"), **{t: table(spark, sf, t) for t in tables_of(name)})
+    return spark.sql(feed_sql(name, "spark"), **{t: spread(table(spark, sf, t)) for t in tables_of(name)})
 
 
 def hex_key(cells: DataFrame) -> DataFrame:
@@ -581,7 +591,7 @@ def encrypted_file(spark, sf):
 def _sealed(spark, sf, broken):
     text = F.col("text").cast("binary")
     sealed = F.when(broken, text).otherwise(F.aes_encrypt(text, F.lit(KEY)))
-    return table(spark, sf, "documents").withColumn("content", sealed)
+    return spread(table(spark, sf, "documents")).withColumn("content", sealed)
 
 
 @query

@@ -5,7 +5,8 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
 
 from check import local_scratch  # noqa: E402
 from kinloom.session import session  # noqa: E402
@@ -17,6 +18,7 @@ def spark():
         "spark.master": "local[4]",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        "spark.executorEnv.PYTHONPATH": ROOT,
         **local_scratch(),
     }
     built = session("tests", shuffle_partitions=4, **settings)

@@ -63,6 +63,21 @@ def test_mapping_is_built_and_loaded(work, spark):
     assert work.table("arl").count() == 3
 
 
+def test_a_load_with_several_outputs_reads_its_input_once(work, spark, monkeypatch):
+    import kinloom.__main__ as jobs
+
+    read = []
+    plain = jobs.staged
+    monkeypatch.setattr(jobs, "staged", lambda df, label: read.append(label) or plain(df, label))
+    monkeypatch.setattr(jobs, "load_two_way", lambda lines, *a, f=jobs.load_two_way, **k: read.append(lines.inputFiles()) or f(lines, *a, **k))
+    work.run("load-links", input=work.put("links", "k,v,w", "k"), forward=work.path("f"), reverse=work.path("r"),
+             family="cf", delimiter=",", rejects=work.path("bad"))
+    label, files = read
+    # What feeds both tables and the rejects is the copy, not the input.
+    assert label == "lines" and files and all("/kinloom/lines-" in f for f in files)
+    assert work.table("f").count() == 2 and spark.read.parquet(work.path("bad")).count() == 1
+
+
 def test_links(work):
     source = work.put("links", "k,v,w", "k")
     for _ in range(2):
