@@ -22,7 +22,6 @@ from kinloom.functions.identity import (
 )
 from kinloom.functions.text import is_blank, split_ragged, strip_outer_quotes, trim_control
 from kinloom.operators.cells import (
-    CELL,
     apply_mutations,
     latest,
     pivot_rows,
@@ -55,7 +54,6 @@ from kinloom.plans.column_encryption import (
 from kinloom.plans.file_decryption import decrypt_blocks, decrypt_files, read_blocks, split_lines
 from kinloom.plans.hash_mapping import build_arl_pel_mapping, load_arl_pel, mapping_lines
 from kinloom.plans.match_table import (
-    hash_cells,
     load_match_table_by_length,
     load_match_table_join,
     match_lines,

@@ -1,7 +1,6 @@
 """The command line, end to end on files."""
 
 import json
-from pathlib import Path
 
 import pytest
 from conftest import tuples
