@@ -149,7 +149,8 @@ def fingerprint_links(points: DataFrame, bits: int = 4, shard_rows: int = 16_384
     """Edges ``a, b`` that join all of ``points (fp)`` within ``bits`` bits, and no others' groups.
 
     A tree of vantage points is fitted to ``sample_rows`` fingerprints (a fixed number)
-    and has a leaf, a shard, for every ``shard_rows`` of them. Each fingerprint lives in
+    and has a leaf, a shard, for every ``shard_rows`` of them, a quarter of the sample at
+    most. Each fingerprint lives in
     one shard and asks every later shard that a ball of ``bits`` around it touches; two
     near fingerprints always meet. A shard gives a star for each group it finds, so a
     group of any size costs as many edges as it has members.
@@ -161,6 +162,8 @@ def fingerprint_links(points: DataFrame, bits: int = 4, shard_rows: int = 16_384
     sample = points.orderBy(F.xxhash64("fp"), "fp").limit(sample_rows).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
     depth = max(0, int(np.ceil(np.log2(n / shard_rows)))) if n > shard_rows else 0
     depth = max(depth, 3 if n > 4 * sample_rows else 0)
+    # A vantage point needs a few of the sample to find its median; beyond that shards grow.
+    depth = min(depth, int(np.log2(max(1, len(sample)) / 4))) if len(sample) >= 4 else 0
     tree = spark.sparkContext.broadcast(shard_tree(sample, depth))
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -212,5 +215,5 @@ def keep_one(docs: DataFrame, words: int = 4, bits: int = 4) -> DataFrame:
     or none.
     """
     names = docs.columns
-    groups = simhash_groups(docs, words, bits).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(groups, F.col("doc_id") == F.col("_gone"), "left_anti").select(*names)
+    groups = simhash_groups(docs, words, bits).where("doc_id <> component_id").select(F.col("doc_id").alias("_id_that_goes")).distinct()
+    return docs.join(groups, F.col("doc_id") == F.col("_id_that_goes"), "left_anti").select(*names)
