@@ -64,37 +64,40 @@ def half_keys(line: Column) -> Column:
     return F.array_distinct(F.array(*keys))
 
 
-def block_keys(line: Column) -> Column:
-    """Step 2: for length c (the shorter of a pair) the line but for the block from lo to hi."""
-    n = F.length(line)
+def block_keys(lines: DataFrame) -> DataFrame:
+    """Step 2, of ``line``: for length c (the shorter of a pair) the line but for each block.
 
-    def of_length(c: Column) -> Column:
-        blocks = F.ceil(F.sqrt(c)).cast("int")
-
-        def key(j: Column) -> Column:
-            lo, hi = (F.floor(x * c / blocks).cast("int") for x in (j, j + 1))
-            rest = F.xxhash64(c, j, F.substring(line, F.lit(1), lo), F.right(line, c - hi))
-            return F.struct(rest.alias("rest"), (n > c).alias("longer"), F.substring(line, lo + 1, hi - lo + n - c).alias("block"))
-
-        return F.transform(F.sequence(F.lit(0), blocks - 1), key)
-
-    return F.concat(of_length(n), of_length(n - 1))
+    Adds ``rest, longer, block``. Blocks are exploded first and cut then: that runs as
+    compiled code, which a lambda over an array of blocks does not.
+    """
+    n, c, j, line = F.length("line"), F.col("_c"), F.col("_j"), F.col("line")
+    blocks = F.ceil(F.sqrt(c)).cast("int")
+    dealt = lines.select("*", F.explode(F.array(n, n - 1)).alias("_c"))
+    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_j"))
+    edge = lambda x: F.floor(x.cast("long") * c / blocks).cast("int")
+    dealt = dealt.withColumns({"_lo": edge(j), "_hi": edge(j + 1)})
+    rest = F.xxhash64(c, j, F.substring(line, F.lit(1), F.col("_lo")), F.right(line, c - F.col("_hi")))
+    block = F.substring(line, F.col("_lo") + 1, F.col("_hi") - F.col("_lo") + n - c)
+    return dealt.select(*lines.columns, rest.alias("rest"), (n > c).alias("longer"), block.alias("block")).drop("line")
 
 
-def variant_keys() -> Column:
-    """Step 3, of ``rest, longer, block``.
+def variant_keys(blocks: DataFrame) -> DataFrame:
+    """Step 3, of ``rest, longer, block``: adds ``key, side``.
 
     Exchanged: both lines without the character at the same place. Put in: the shorter
-    line's block as it is, and the longer one's without each of its characters.
+    line's block as it is (place 0), and the longer one's without each of its characters.
     """
-    block, rest = F.col("block"), F.col("rest")
-    places = F.when(F.length(block) > 0, F.sequence(F.lit(1), F.length(block))).otherwise(F.array().cast("array<int>"))
-    without = lambda i: F.concat(F.substring(block, F.lit(1), i - 1), F.substring(block, i + 1, F.length(block)))
-    key = lambda side, value: F.struct(value.alias("key"), F.lit(side).alias("side"))
-    same = F.transform(places, lambda i: key("same", F.xxhash64(rest, F.lit("same"), i, without(i))))
-    shorter = F.array(key("shorter", F.xxhash64(rest, F.lit("in"), block)))
-    longer = F.array_distinct(F.transform(places, lambda i: key("longer", F.xxhash64(rest, F.lit("in"), without(i)))))
-    return F.when(F.col("longer"), longer).otherwise(F.concat(same, shorter))
+    block, rest, place, longer = F.col("block"), F.col("rest"), F.col("_i"), F.col("longer")
+    dealt = blocks.select("*", F.explode(F.sequence(F.lit(0), F.length("block"))).alias("_i")).where(~longer | (place > 0))
+    without = F.concat(F.substring(block, F.lit(1), place - 1), F.substring(block, place + 1, F.length(block)))
+    put_in = F.xxhash64(rest, F.lit("in"), F.when(longer, without).otherwise(block))
+    same = F.xxhash64(rest, F.lit("same"), place, without)
+    side = F.when(longer, F.lit("longer")).when(place == 0, F.lit("shorter")).otherwise(F.lit("same"))
+    return dealt.select(
+        *(c for c in blocks.columns if c not in ("rest", "longer", "block")),
+        F.when(longer | (place == 0), put_in).otherwise(same).alias("key"),
+        side.alias("side"),
+    )
 
 
 def shared(rows: DataFrame, key: str) -> DataFrame:
@@ -122,8 +125,7 @@ def kept_lines(rows: DataFrame, dealt: DataFrame, min_chars: int = MIN_CHARS) ->
     )
     texts = texts.select(F.col("x.a.h").alias("h"), F.col("x.a.g").alias("g"), F.struct("_id", "_t", F.col("x.a.line_no").alias("line_no")).alias("o"), F.col("x.line").alias("line"))
 
-    blocks = texts.select("h", "g", "o", F.explode(block_keys(F.col("line"))).alias("k")).select("h", "g", "o", "k.*")
-    variants = shared(blocks, "rest").select("h", "g", "o", F.explode(variant_keys()).alias("k")).select("h", "g", "o", "k.*")
+    variants = variant_keys(shared(block_keys(texts), "rest"))
     me = F.struct("o", "h", "g")
     sides = ("same", "shorter", "longer")
     earliest = variants.groupBy("key").agg(*(F.min(F.when(F.col("side") == s, me)).alias(s) for s in sides))
