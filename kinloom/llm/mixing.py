@@ -12,41 +12,49 @@ DIMENSIONS = ("source", "lang", "topic")
 STEMS = ("th", "er", "on", "en", "ou", "re", "es", "in")
 NONE = "(none)"
 TEMPER, ITERATIONS, SEED = 0.9, 8, "mix"
+#: See ``probabilities``.
+CAPPED, GRID = 0.01, 64
 
 
-def topic_of(text: Column, stems: tuple[str, ...] = STEMS) -> Column:
+def stem_counts(text: Column, stems: tuple[str, ...] = STEMS) -> Column:
+    """How often each stem occurs: each replacement by one letter less shortens the text by one."""
+    return F.array(*(F.octet_length(text) - F.octet_length(F.replace(text, F.lit(s), F.lit(s[:-1]))) for s in stems))
+
+
+def topic_of(counts: Column, stems: tuple[str, ...] = STEMS) -> Column:
     """The stem that occurs most in the whole text; ties go to the first, none to ``NONE``."""
-    counts = [F.length(text) - F.length(F.replace(text, F.lit(s), F.lit(s[:-1]))) for s in stems]
-    out, most = F.lit(NONE), F.greatest(*counts)
-    for stem, n in reversed(list(zip(stems, counts, strict=True))):
-        out = F.when(n == most, F.lit(stem)).otherwise(out)
-    return F.when(most > 0, out).otherwise(F.lit(NONE))
+    most = F.array_max(counts)
+    name = F.element_at(F.array(*map(F.lit, stems)), F.array_position(counts, most).cast("int"))
+    return F.when(most > 0, name).otherwise(F.lit(NONE))
 
 
 def token_count(text: Column) -> Column:
     """Words, as one more than the blanks and line ends between; 0 for an empty text."""
-    blanks = F.length(text) - F.length(F.translate(text, " \n", ""))
-    return F.when(F.length(text) > 0, blanks + 1).otherwise(F.lit(0)).cast("long")
+    rest = F.replace(F.replace(text, F.lit(" "), F.lit("")), F.lit("\n"), F.lit(""))
+    words = F.octet_length(text) - F.octet_length(rest) + 1
+    return F.when(F.octet_length(text) > 0, words).otherwise(F.lit(0)).cast("long")
 
 
-def with_cell(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_source, _lang, _topic, _tokens, _draw``; a null source or language is ``NONE``.
+def with_cell(docs: DataFrame, *more: Column) -> DataFrame:
+    """``doc_id, _source, _lang, _topic, _tokens, _draw`` and ``more``; a null source or language is ``NONE``.
 
     ``_draw`` is a number from 0 to 1 that hangs on the doc_id alone (on the text, if
-    that is null), so a document is drawn or not however the table is laid out.
+    that is null), so a document is drawn or not however the table is laid out. The
+    counts are a column of their own, so that each is computed once.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     key = F.coalesce(F.col("doc_id").cast("string"), F.md5(text))
     draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{SEED}:"), key)), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
-    return docs.withColumns(
-        {
-            "_source": F.coalesce(F.col("source").cast("string"), F.lit(NONE)),
-            "_lang": F.coalesce(F.col("lang").cast("string"), F.lit(NONE)),
-            "_topic": topic_of(text),
-            "_tokens": token_count(text),
-            "_draw": draw,
-        }
+    counted = docs.select(
+        *more,
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.col("source").cast("string"), F.lit(NONE)).alias("_source"),
+        F.coalesce(F.col("lang").cast("string"), F.lit(NONE)).alias("_lang"),
+        token_count(text).alias("_tokens"),
+        draw.alias("_draw"),
+        stem_counts(text).alias("_counts"),
     )
+    return counted.withColumn("_topic", topic_of(F.col("_counts"))).drop("_counts")
 
 
 def cells_of(rows: DataFrame) -> DataFrame:
@@ -87,16 +95,26 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], iterations: int = ITER
     return now
 
 
-def probabilities(raked: DataFrame, keep_tokens: float | None = None) -> DataFrame:
-    """``source, lang, topic, probability``: in proportion to the ratios, so the margins hold.
+def probabilities(raked: DataFrame, keep_tokens: float | None = None, capped: float = CAPPED) -> DataFrame:
+    """``source, lang, topic, probability``: in proportion to the ratios, 1 at most.
 
-    The largest probability is 1, or less if about ``keep_tokens`` tokens are to stay.
+    A cell cannot give more than it has. Cells with the largest ratios are drawn whole
+    as long as they hold no more than ``capped`` of the raked weight, so a few rare
+    documents do not thin out all others; the margins hold but for that part. Fewer are
+    drawn if about ``keep_tokens`` tokens are to stay. The limit is sought on a grid of
+    ``GRID`` steps below the largest ratio, in one aggregation over the cells.
     """
     highest, weight = raked.agg(F.max("ratio"), F.sum(F.col("tokens") * F.col("ratio"))).first()
-    rate = 1.0 / highest if highest else 1.0
+    if not highest:
+        return raked.select(*DIMENSIONS, F.lit(1.0).alias("probability"))
+    steps = raked.select("*", F.explode(F.sequence(F.lit(1), F.lit(GRID))).alias("k"))
+    above = steps.where(F.col("ratio") > F.lit(highest) * F.pow(F.lit(2.0), -F.col("k") / 8))
+    held = above.groupBy("k").agg(F.sum(F.col("tokens") * F.col("ratio")).alias("w"))
+    step = held.where(F.col("w") <= capped * weight).agg(F.max("k")).first()[0] or 0
+    rate = 2.0 ** (step / 8) / highest
     if keep_tokens is not None and weight:
         rate = min(rate, keep_tokens / weight)
-    return raked.select(*DIMENSIONS, (F.col("ratio") * F.lit(rate)).alias("probability"))
+    return raked.select(*DIMENSIONS, F.least(F.lit(1.0), F.col("ratio") * F.lit(rate)).alias("probability"))
 
 
 def with_probability(rows: DataFrame, chances: DataFrame) -> DataFrame:
@@ -111,12 +129,11 @@ def mix(docs: DataFrame, power: float = TEMPER, iterations: int = ITERATIONS) ->
     Targets are the tempered shares of each margin. Repeated rows are drawn alike; an
     empty text has no tokens and shares the chance of its cell.
     """
-    columns = [F.col(c) for c in ("doc_id", "_source", "_lang", "_topic", "_tokens", "_draw")]
-    rows = staged(with_cell(docs.select("doc_id", "text", "source", "lang")).select(*columns), "features")
+    rows = staged(with_cell(docs), "features")
     cells = cells_of(rows)
     chances = probabilities(rake(cells, {d: tempered(cells, d, power) for d in DIMENSIONS}, iterations))
     return with_probability(rows, chances).select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        "doc_id",
         F.col("_source").alias("source"),
         F.col("_lang").alias("lang"),
         F.col("_topic").alias("topic"),
@@ -128,9 +145,11 @@ def mix(docs: DataFrame, power: float = TEMPER, iterations: int = ITERATIONS) ->
 
 def sample(docs: DataFrame, power: float = TEMPER, iterations: int = ITERATIONS) -> DataFrame:
     """The rows of ``docs`` that are drawn, with their own columns."""
-    cells = cells_of(with_cell(docs.select("doc_id", "text", "source", "lang")))
+    cells = cells_of(with_cell(docs))
     chances = probabilities(rake(cells, {d: tempered(cells, d, power) for d in DIMENSIONS}, iterations))
-    return with_probability(with_cell(docs), chances).where("_draw < _chance").select(*docs.columns)
+    own = [(c, f"_own{i}") for i, c in enumerate(docs.columns)]
+    rows = with_cell(docs, *(F.col(c).alias(n) for c, n in own))
+    return with_probability(rows, chances).where("_draw < _chance").select(*(F.col(n).alias(c) for c, n in own))
 
 
 def oracle(power: float = TEMPER, iterations: int = ITERATIONS) -> str:
@@ -157,6 +176,11 @@ c0 AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens) AS tokens, CAST(1
   FROM c{k} JOIN t_{d} USING ({d}) JOIN (SELECT {d}, sum(tokens * ratio) AS got FROM c{k} GROUP BY {d}) USING ({d}))"""
         )
     last = f"c{iterations * len(DIMENSIONS)}"
+    steps.append(
+        f"""h AS (SELECT max(ratio) AS highest, sum(tokens * ratio) AS weight FROM {last}),
+s AS (SELECT coalesce(max(k), 0) AS k FROM (SELECT k, sum(tokens * ratio) AS w FROM {last}, h, range(1, {GRID + 1}) AS g(k)
+  WHERE ratio > highest * pow(2, -k / 8.0) GROUP BY k), h WHERE w <= {CAPPED} * weight)"""
+    )
     return f"""WITH {", ".join(steps)}
 SELECT doc_id, source, lang, topic, n_tokens, round(p, 6) AS probability, draw < p AS sampled
-  FROM (SELECT *, ratio / (SELECT max(ratio) FROM {last}) AS p FROM r JOIN {last} USING (source, lang, topic))"""
+  FROM (SELECT *, least(1, ratio * (SELECT pow(2, k / 8.0) / highest FROM s, h)) AS p FROM r JOIN {last} USING (source, lang, topic))"""
