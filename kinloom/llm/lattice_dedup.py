@@ -57,9 +57,9 @@ def cells(units: np.ndarray, table: int, scale: float, probes: int, seed: int) -
 def near_duplicates(
     vectors: DataFrame,
     threshold: float = 0.95,
-    tables: int = 8,
-    probes: int = 12,
-    scale: float = 0.75,
+    tables: int = 5,
+    probes: int = 8,
+    scale: float = 0.9,
     cell_rows: int = 16_384,
     seed: int = 7,
 ) -> DataFrame:

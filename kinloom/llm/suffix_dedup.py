@@ -246,8 +246,8 @@ def repeats(docs: DataFrame, length: int = 100, k: int = 32) -> DataFrame:
     def around(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """The strings that the open anchors' windows reach; of hot ones each window's names."""
         for batch in batches:
-            for a in range(0, len(batch), 64):
-                yield from neighbourhoods(batch.iloc[a : a + 64])
+            for a in range(0, len(batch), 1024):
+                yield from neighbourhoods(batch.iloc[a : a + 1024])
 
     def neighbourhoods(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         page, numbers, t_of, start, span, strings = [], [], [], [], [], []
