@@ -194,7 +194,8 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, per_label: int = 2_000) -> Chain:
     """Fit to at most ``per_label`` documents of each label, those with the least hash of doc_id.
 
-    Only labels of documents that are not held out are read. A doc_id with different
+    All their lines are read, as in scoring, so what the driver gets grows with the picked
+    documents' lines (176 bytes each) and not with the table. Only labels of documents that are not held out are read. A doc_id with different
     labels, a null id and a label other than 0 and 1 are left out.
     """
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -206,7 +207,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = 2_000) -> Chain:
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [line_features(t)[0].astype(np.float32) for t in batch["text"]]
-            yield pd.DataFrame({"_id": batch["_id"], "y": batch["y"], "f": [r[: 4 * STRETCH].tobytes() for r in rows]})
+            yield pd.DataFrame({"_id": batch["_id"], "y": batch["y"], "f": [r.tobytes() for r in rows]})
 
     rows = texts(docs).join(picked, F.col("doc_id") == F.col("_id")).select("_id", "y", "text")
     rows = rows.mapInPandas(scan, "_id long, y int, f binary").toPandas().sort_values(["_id", "f"])

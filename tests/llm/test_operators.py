@@ -343,6 +343,17 @@ def test_quality_of_odd_rows(spark, make_docs):
     assert quality_scores(make_docs([]), train(make_docs([]), labels.limit(0))).count() == 0
 
 
+def test_training_reads_whole_texts(spark, make_docs):
+    """Good and bad documents open with the same 300 lines; only what follows tells them apart."""
+    good = [f"This is a quiet line of plain prose, the {w} of many in the text." for w in ("first", "second", "third")] * 100
+    ids = [i for i in range(1, 40) if zlib.crc32(str(i).encode()) % 5]
+    made = [(i, "\n".join(good + (["$$$ 9999 ### 1234 !!!! 5678"] * 300 if i % 2 else good))) for i in ids]
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in ids], "doc_id long, quality int")
+    df = make_docs(made)
+    rows = quality_scores(df, train(df, labels)).collect()
+    assert all(r.predicted == 1 - r.doc_id % 2 for r in rows)
+
+
 # 7
 
 
