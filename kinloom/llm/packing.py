@@ -2,94 +2,23 @@
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinloom.llm.common import texts
+from kinloom.llm.word_bpe import word_bpe
+from kinloom.llm.wordwise import ragged
 from kinloom.session import staged
 
-CACHED_WORDS = 400_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+NAMES = [c.split()[0] for c in PIECES.split(", ")]
 PACKED = f"{PIECES}, _row long, sequence_id long, offset long, done boolean"
-LETTERS = re.compile(rb"[a-z]+")
-
-_encoders: dict[str, Encoder] = {}
-
-
-class Encoder:
-    """Token ids of a text as little-endian unsigned 32-bit bytes.
-
-    White space always ends a token of this vocabulary, so a text is encoded word by
-    word and the ids of a word are remembered. Only A-Z are lower-cased here (the
-    tokenizer lower-cases all letters); words of letters are encoded many at a time and
-    told apart by the mark that ends a word. The memory is emptied when it is full.
-    """
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        for token, i in self.tokenizer.get_vocab().items():
-            self.last[i] = token.endswith("</w>")
-        self.known: dict[bytes, bytes] = {}
-
-    def plain(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def learn(self, words: set[bytes]) -> None:
-        known, alone, letters = self.known, [], set()
-        for word in words:
-            stem = word[:-1] if word[-1:] in b".," else word
-            if LETTERS.fullmatch(stem):
-                letters.add(stem)
-            else:
-                alone.append(word)
-        fresh = [w for w in letters if w not in known]
-        if fresh:
-            ids = np.array(
-                self.tokenizer.encode_batch_fast([b" ".join(fresh).decode()], add_special_tokens=False)[0].ids, "<u4"
-            )
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) != len(fresh):
-                raise ValueError("the vocabulary does not mark word ends")
-            body, at = ids.tobytes(), 0
-            for word, end in zip(fresh, ends.tolist(), strict=True):
-                known[word] = body[4 * at : 4 * end]
-                at = end
-        for word in alone:
-            known[word] = self.plain(word.decode())
-        for word in words:
-            if word not in known:
-                mark = word[-1:]
-                if mark not in known:
-                    known[mark] = self.plain(mark.decode())
-                known[word] = known[word[:-1]] + known[mark]
-
-    def ids(self, text: str) -> bytes:
-        if "<|" in text:  # special tokens are told from other text before letters change
-            return self.plain(text)
-        words = text.encode("utf-8", "replace").lower().replace(b"\n", b" ").split(b" ")
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        if missing := set(words).difference(self.known):
-            self.learn(missing)
-        return b"".join(map(self.known.__getitem__, words))
-
-
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process and vocabulary."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048) -> DataFrame:
@@ -100,20 +29,21 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048) ->
     the id 0 alone. Rows with a null or a repeated doc_id are documents of their own.
     """
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens = encoder(tokenizer_path)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = word_bpe(tokenizer_path)
         for batch in batches:
-            rows = []
-            for i, text in enumerate(batch["text"]):
-                ids = memoryview(tokens.ids(text) + b"\0\0\0\0")
-                for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[start : start + 4 * capacity]
-                    rows.append((i, piece, start // 4, len(part) // 4, zlib.crc32(part)))
-            out = pd.DataFrame(rows, columns=["doc", "piece", "start", "length", "ids_crc32"])
-            out.insert(0, "doc_id", batch["doc_id"].astype("Int64").array[out.pop("doc")])
-            yield out
+            for first, ids, size in tokens.encoded(batch["text"], 0):
+                count = -(-size // capacity)
+                piece = ragged(np.zeros(len(size), np.int64), count)
+                start = piece * capacity
+                length = np.minimum(np.repeat(size, count) - start, capacity)
+                ends = np.cumsum(length).tolist()
+                crc = [zlib.crc32(ids[a:b]) for a, b in zip([0, *ends], ends)]
+                doc = np.repeat(np.arange(first, first + len(size)), count)
+                columns = [batch["doc_id"].take(pa.array(doc)), pa.array(piece, pa.int32()), start, length, pa.array(crc, pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], names=NAMES)
 
-    return texts(docs).mapInPandas(cut, PIECES)
+    return texts(docs).mapInArrow(cut, PIECES)
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -174,7 +104,7 @@ def best_fit_packing(pieces: DataFrame, capacity: int = 2048, slack: int = 8, gr
             done=(room <= slack)[bin_of][item],
         )[[c.split()[0] for c in PACKED.split(", ")]]
 
-    rows = pieces.select(*(c.split()[0] for c in PIECES.split(", ")))
+    rows = pieces.select(*NAMES)
     rows = staged(rows.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     todo = rows.withColumns({"sequence_id": F.col("_row"), "offset": F.lit(0).cast("long"), "done": F.col("length") == capacity})
     parts, todo = [todo.where("done")], todo.where("not done")

@@ -15,6 +15,7 @@ from kinloom.llm.packing import best_fit_packing, token_pieces
 from kinloom.llm.sharding import place_documents
 from kinloom.llm.simhash import simhash_groups
 from kinloom.llm.suffix_dedup import remove_repeats
+from kinloom.llm.token_files import read_tokens, write_tokens
 
 VOCABULARY = "word_bpe_49k.json"
 SHARDS = {f"shard-{i:03d}": 1 for i in range(256)}
@@ -70,6 +71,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(token_pieces(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY)))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_tokens(write_tokens(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY), 1))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_mixing": op2_mixing,
@@ -81,6 +86,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_token_files": op11_token_files,
 }
 
 ORACLES: dict[str, str] = {
