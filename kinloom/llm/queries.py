@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinloom.llm import kd_topk, lattice_dedup, line_dedup, mixing, secret_scan, suffix_dedup
+from kinloom.llm import kd_topk, lattice_dedup, line_dedup, mixing, periodic_runs, secret_scan, suffix_dedup
+from kinloom.llm.alignment import align
 from kinloom.llm.common import documents
 from kinloom.llm.crf_quality import quality_scores, train
 from kinloom.llm.kd_topk import top_k
@@ -75,6 +76,17 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(write_tokens(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY), 1))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.periodic_runs(periodic_runs.planted(documents(spark, sf_dir))))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabularies = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    found = align(documents(spark, sf_dir), *vocabularies)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return found.withColumn("groups_sha256", digest).drop("groups")
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_mixing": op2_mixing,
@@ -87,6 +99,8 @@ QUERIES = {
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_token_files": op11_token_files,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLES: dict[str, str] = {

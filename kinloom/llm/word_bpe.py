@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from kinloom.llm.wordwise import Words, body, steps
+from kinloom.llm.wordwise import Words, body, cut_at, steps
 
 #: A-Z in lower case and the end of a line as a blank; other letters are left to the tokenizer.
 FOLD = np.arange(256, dtype=np.uint8)
@@ -74,7 +74,7 @@ class WordBpe:
             cut[1:] |= MARK[raw[1:]] & letter[:-1]
             cut[offsets[:-1][offsets[:-1] < len(raw)]] = True
             cuts = np.append(np.flatnonzero(cut), len(raw))
-            ids, size = self.words.ids(raw, cuts)
+            ids, size = self.words.ids(cut_at(raw, cuts))
             ends = np.append(0, np.cumsum(size))[np.searchsorted(cuts, offsets[1:])]
             if len(special):
                 pieces = np.split(ids, ends[:-1])

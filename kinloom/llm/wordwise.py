@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at once, and bytes of words and ids that a memory holds.
-STEP_BYTES, MEMORY_BYTES = 8 << 20, 192 << 20
+STEP_BYTES, MEMORY_BYTES = 2 << 20, 96 << 20
 #: Longer words are encoded each time they come.
 LONGEST_KEPT = 64
 
@@ -86,11 +86,14 @@ class Words:
             self.held += sum(map(len, kept)) + 130 * len(kept) + 12 * len(fresh) + 4 * len(ids)
         return out
 
-    def ids(self, raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words, and how many of them each word has; words lie between ``cuts``."""
-        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(raw)])
-        coded = words.dictionary_encode()
-        number = self.numbers(coded.dictionary.to_pylist())
-        code = coded.indices.to_numpy()
+    def ids(self, words: pa.DictionaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, and how many of them each word has."""
+        number, code = self.numbers(words.dictionary.to_pylist()), words.indices.to_numpy()
         size = self.size[number].astype(np.int64)[code]
         return self.pool[ragged(self.at[number][code], size)], size
+
+
+def cut_at(raw: np.ndarray, cuts: np.ndarray) -> pa.DictionaryArray:
+    """The bytes between ``cuts``, each different string once."""
+    buffers = [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(raw)]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts) - 1, buffers).dictionary_encode()

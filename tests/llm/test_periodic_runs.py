@@ -1,0 +1,103 @@
+"""Lyndon words and runs against plain versions, and the digest of whole documents."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from kinloom.llm import queries
+from kinloom.llm.periodic_runs import digest, longest_lyndon, periodic_runs, planted, runs_of
+
+from .conftest import ODD, SF
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_lyndon(w):
+    out = []
+    for i in range(len(w)):
+        lengths = range(1, len(w) - i + 1)
+        out.append(max(n for n in lengths if all(w[i : i + n] < w[i + k : i + n] for k in range(1, n))))
+    return out
+
+
+def plain_runs(w, exponent=4, least=6):
+    found = {}
+    for p in range(1, len(w) // 2 + 1):
+        i = 0
+        while i + p < len(w):
+            j = i
+            while j + p < len(w) and w[j] == w[j + p]:
+                j += 1
+            if j > i and j + p - i >= max(least, exponent * p):
+                found.setdefault((i, j + p - i), p)
+            i = j + 1
+    return sorted((i, n, p) for (i, n), p in found.items())
+
+
+def test_longest_lyndon_words():
+    rng = np.random.default_rng(1)
+    for _ in range(60):
+        parts = [rng.integers(0, rng.integers(2, 6), rng.integers(0, 30)).tolist() for _ in range(rng.integers(1, 9))]
+        got = longest_lyndon(np.array(sum(parts, []), np.int64), np.array([len(p) for p in parts]))
+        assert got.tolist() == sum(map(plain_lyndon, parts), [])
+    assert len(longest_lyndon(np.empty(0, np.int64), np.empty(0, np.int64))) == 0
+
+
+@pytest.mark.parametrize("exponent, least", [(4, 6), (2, 4), (3, 3), (2.5, 6)])
+def test_runs(exponent, least):
+    rng = np.random.default_rng(2)
+    for _ in range(150):
+        docs = []
+        for _ in range(rng.integers(1, 8)):
+            words = [b"%d" % x for x in rng.integers(0, rng.integers(1, 5), rng.integers(0, 60))]
+            root = [b"%d" % x for x in rng.integers(0, 4, rng.integers(1, 12))]
+            words[len(words) // 2 : len(words) // 2] = (root * 9)[: int(len(root) * rng.uniform(0, 8))]
+            docs.append(words)
+        got = [[] if r is None else list(map(tuple, r.tolist())) for r in runs_of(docs, exponent, least)]
+        assert got == [plain_runs(d, exponent, least) for d in docs]
+
+
+def plain_digest(doc_id, text):
+    words = WORD.findall(text or "")
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 == 0 and words:
+        g, n = h // 10, len(words)
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    runs = plain_runs(words)
+    gone = {k for i, n, p in runs for k in range(i + p, i + n)}
+    top = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=(None, None, None))
+    kept = " ".join(w for k, w in enumerate(words) if k not in gone)
+    listed = "".join(f"{i},{n},{p}\n" for i, n, p in runs)
+    sha = [hashlib.sha256(x.encode()).hexdigest() for x in (listed, kept)]
+    return (doc_id, len(runs), *top, 1000 * top[1] // top[2] if runs else None, *sha)
+
+
+def short(df):
+    """Rows the plain version can do."""
+    return df.where("text IS NULL OR length(text) < 5000")
+
+
+def test_query(spark, docs):
+    want = {r.doc_id: plain_digest(r.doc_id, r.text) for r in short(docs).collect()}
+    got = {r.doc_id: tuple(r) for r in queries.QUERIES["op12_periodic_runs"](spark, SF).collect()}
+    assert len(got) == docs.count() and {i: got[i] for i in want} == want
+    assert sum(r[1] > 0 for r in want.values()) > 5
+
+
+def test_odd_rows(make_docs):
+    more = [(30, "a " * 6), (31, "a " * 5), (32, "x " + "b c " * 4 + "b y"), (33, "é\x0bé\x0cé\té\né\ré"), (34, "q " * 500), (35, "a\x1fa a\x1fa")]
+    odd = make_docs([r for r in ODD if len(r[1] or "") < 5000] + more + [(i, "one two three " * 9 + "end") for i in range(40, 90)])
+    got = Counter(map(tuple, digest(periodic_runs(planted(odd))).collect()))
+    assert got == Counter(plain_digest(r.doc_id, r.text) for r in odd.collect())
+    assert periodic_runs(make_docs([])).count() == 0
+    long = make_docs([(1, " ".join(f"w{i % 5000}" for i in range(25_000)))])
+    assert [tuple(r) for r in periodic_runs(long).first().runs] == [(0, 25_000, 5_000)]
+    with pytest.raises(ValueError):
+        periodic_runs(odd, 1.5)

@@ -40,7 +40,7 @@ def test_words_hold_what_was_put_in(seed):
 def test_escapes_runs_and_room():
     ids = np.array([2**64 - 1, 2**60, 2**60 - 1, 7], np.uint64)
     words, _ = simple8b.encode(ids, np.array([4]))
-    assert len(words) == 2 + 2 + 1 + 1 and (words >> np.uint64(60)).tolist() == [0, 0, 0, 0, 15, 2]
+    assert len(words) == 2 + 2 + 1 + 1 and (words >> np.uint64(60)).tolist() == [0, 0, 0, 0, 15, 4]
     words, _ = simple8b.encode(np.full(1000, 40_000, np.uint64), np.array([1000]))
     assert len(words) == 1 and int(words[0] >> np.uint64(60)) == 1
     words, _ = simple8b.encode(np.arange(60, dtype=np.uint64) % np.uint64(2), np.array([60]))
