@@ -21,6 +21,7 @@ from kinloom.llm.common import texts
 from kinloom.llm.wordwise import Words, body, cut_at, ragged, steps
 from kinloom.session import staged
 
+EMPTY, BLANK = pa.scalar(b"", pa.large_binary()), pa.scalar(b" ", pa.large_binary())
 OF_B = np.uint32(1 << 31)
 WORDS_BYTES, WINDOWS_BYTES = 64 << 20, 80 << 20
 #: Pairs of ids whose counts are sent to all tasks: 17 bytes each. Rarer ones are joined.
@@ -182,7 +183,7 @@ class Aligner:
                 yield first, 0, *(np.empty(0, np.int64),) * 4  # what was counted is to be taken now
                 self.forget()
             some = pc.binary_length(part).to_numpy() > 0
-            raw, offsets = body(pc.binary_join_element_wise(b"", part.filter(pa.array(some)), b" "))
+            raw, offsets = body(pc.binary_join_element_wise(EMPTY, part.filter(pa.array(some)), BLANK))
             cuts = np.append(np.flatnonzero(word_starts(raw, offsets)), len(raw))
             words = cut_at(raw, cuts)
             number, code = self.words.numbers(words.dictionary.to_pylist()), words.indices.to_numpy()
