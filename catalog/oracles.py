@@ -86,6 +86,9 @@ groups AS (
 listed AS (
     SELECT group_key, kind, hash, e AND p AS in_both
     FROM owned JOIN entries USING (id, hash) JOIN groups USING (id))"""
+_ASKED_BY_CUSTOMER = """SELECT CASE WHEN c_custkey % 2 = 0 THEN 'email' ELSE 'phone' END AS kind,
+    sha256(CASE WHEN c_custkey % 2 = 0 THEN 'e' || CAST(4 * c_custkey AS STRING) ELSE 'p' || CAST(6 * c_custkey AS STRING) END) AS hash
+    FROM customer"""
 _ASKED = """SELECT DISTINCT 'email' AS kind, sha256('e' || CAST(s_suppkey - s_suppkey % 4 AS STRING)) AS hash FROM supplier
     UNION ALL SELECT DISTINCT 'phone', sha256('p' || CAST(s_suppkey - s_suppkey % 6 AS STRING)) FROM supplier"""
 
@@ -231,7 +234,12 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT group_key, kind, hash, 2000::BIGINT, CASE WHEN in_both THEN 'both' ELSE '' END FROM listed""",
     "pii_expansion_rejects": f"WITH {_PEOPLE} SELECT value, 'width' AS reason FROM words WHERE len(w) <> 2",
-    "pii_expansion_lookup": f"""WITH {_PEOPLE}, asked AS ({_ASKED})
+    "pii_expansion_lookup": f"""WITH {_PEOPLE}, {_GROUPS}, asked AS ({_ASKED_BY_CUSTOMER}),
+        reached AS (SELECT DISTINCT kind, hash, group_key FROM listed JOIN asked USING (kind, hash))
+        SELECT '{REGION}#' || kind || '#' || hash AS row_key, 'group' AS family, group_key AS qualifier, '' AS value FROM reached
+        UNION ALL SELECT group_key, kind, hash, CASE WHEN in_both THEN 'both' ELSE '' END FROM listed
+        WHERE group_key IN (SELECT group_key FROM reached)""",
+    "pii_expansion_pairs": f"""WITH {_PEOPLE}, asked AS ({_ASKED})
         {_pairs('owned', 'SELECT o.* FROM owned o JOIN (SELECT DISTINCT kind, hash FROM asked) USING (kind, hash)')}""",
     "id_hash_pairs": f"WITH {_PEOPLE} SELECT w[1] AS id, w[2] AS hash FROM words WHERE kind = 'email' AND len(w) = 2",
     "match_load_join": f"""WITH kb AS ({_csv('kb_lines')}), provider AS ({_csv('provider_lines')}),

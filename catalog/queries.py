@@ -28,7 +28,7 @@ from kinloom.operators.cells import (
     scan_prefix,
     to_cells,
 )
-from kinloom.operators.expansion import linked_hashes
+from kinloom.operators.expansion import cells_of, look_up, pairs_of, save_expansion
 from kinloom.operators.owners import owner_per_hash
 from kinloom.operators.parse import (
     parse_account_lines,
@@ -63,6 +63,7 @@ from kinloom.plans.pii_expansion import expand_pii
 from kinloom.plans.recent_pels import recent_pels
 from kinloom.plans.two_way import load_two_way
 from kinloom.session import scratch_dir
+from kinloom.sources.buckets import open_buckets
 from kinloom.sources.lines import read_files, read_lines
 from kinloom.sources.sinks import write_lines
 from kinloom.sources.snapshots import append_snapshot, open_snapshot, publish_snapshot
@@ -215,9 +216,26 @@ def pii_expansion_rejects(spark, sf):
     return _expansion(spark, sf).rejects
 
 
+def _saved_expansion(spark, sf):
+    path = scratch_dir(spark, "expansion")
+    save_expansion(_expansion(spark, sf).table, path, region=REGION)
+    return open_buckets(spark, path)
+
+
 @query
 def pii_expansion_lookup(spark, sf):
-    """Everything linked to one e-mail and one phone hash per supplier."""
+    """One request per customer, for an e-mail or a phone hash: the cells that answer them."""
+    key = F.col("c_custkey")
+    keys = table(spark, sf, "customer").select(
+        F.when(key % 2 == 0, "email").otherwise("phone").alias("type"),
+        F.sha2(F.when(key % 2 == 0, F.concat(F.lit("e"), 4 * key)).otherwise(F.concat(F.lit("p"), 6 * key)), 256).alias("hash"),
+    )
+    return cells_of(look_up(_saved_expansion(spark, sf), keys, region=REGION))
+
+
+@query
+def pii_expansion_pairs(spark, sf):
+    """Everything linked to one e-mail and one phone hash per supplier, pair by pair."""
     suppliers = table(spark, sf, "supplier")
 
     def asked(kind: str, letter: str, step: int) -> DataFrame:
@@ -225,9 +243,7 @@ def pii_expansion_lookup(spark, sf):
         return suppliers.select(F.lit(kind).alias("type"), F.sha2(F.concat(F.lit(letter), key.cast("string")), 256).alias("hash"))
 
     keys = asked("email", "e", 4).unionByName(asked("phone", "p", 6))
-    root = scratch_dir(spark, "expansion")
-    publish_snapshot(_expansion(spark, sf).table, root, by_key=True)
-    return linked_hashes(open_snapshot(spark, root), keys, region=REGION)
+    return pairs_of(look_up(_saved_expansion(spark, sf), keys, region=REGION))
 
 
 @query
