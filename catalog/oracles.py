@@ -290,6 +290,12 @@ ORACLES: dict[str, str] = {
         "diff_old", "diff_new", f"NOT starts_with(row_key, '{ACCOUNT}#')"
     ),
     "account_refresh_arl": _account_table("arl_old", "arl_new", f"ana <> {ACCOUNT}"),
+    "account_folder_refresh_diff": _account_table(
+        "diff_old", "diff_new", f"NOT starts_with(row_key, '{ACCOUNT}#')"
+    ),
+    "account_folder_refresh_arl": _account_table("arl_old", "arl_new", f"ana <> {ACCOUNT}"),
+    "account_folder_files": f"""WITH accounts AS ({_lines('accounts')})
+        SELECT DISTINCT ana::INT AS ana, ana <> {ACCOUNT} AS untouched FROM accounts""",
     "account_refresh_prefix_diff": _account_table(
         "diff_old", "diff_new", f"NOT starts_with(row_key, '{ACCOUNT}')"
     ),

@@ -45,6 +45,7 @@ from kinloom.plans.account import (
     account_load_incremental,
     account_refresh_full,
 )
+from kinloom.plans.account_layout import open_accounts, refresh_account, save_accounts
 from kinloom.plans.column_encryption import (
     HEADER_COLUMNS,
     encrypt_columns,
@@ -62,7 +63,7 @@ from kinloom.plans.match_table import (
 from kinloom.plans.pii_expansion import expand_pii
 from kinloom.plans.recent_pels import recent_pels
 from kinloom.plans.two_way import load_two_way
-from kinloom.session import scratch_dir
+from kinloom.session import scratch_dir, staged
 from kinloom.sources.buckets import open_buckets
 from kinloom.sources.lines import read_files, read_lines
 from kinloom.sources.sinks import write_lines
@@ -493,6 +494,47 @@ def account_refresh_prefix_arl(spark, sf):
     return hex_key(_refresh(spark, sf, match="prefix").arl)
 
 
+def _partitioned(spark, sf) -> str:
+    """Folder with the tables of accounts 1, 12 and 123, a folder each."""
+    root = scratch_dir(spark, "accounts")
+    now = _accounts(spark, sf)
+    save_accounts(now.diff, now.arl, root, arl_fn=salted_account_arl(SALT))
+    return root
+
+
+def _refresh_folder(spark, sf, root):
+    options = {k: v for k, v in ACCOUNT_OPTIONS.items() if k not in ("ana", "arl_fn")}
+    refresh_account(feed(spark, sf, "account_lines"), root, ana=ACCOUNT, arl_fn=salted_account_arl(SALT), **options)
+    return root
+
+
+@query
+def account_folder_refresh_diff(spark, sf):
+    """The refresh of one account's folder."""
+    return open_accounts(spark, _refresh_folder(spark, sf, _partitioned(spark, sf)), "diff")
+
+
+@query
+def account_folder_refresh_arl(spark, sf):
+    return hex_key(open_accounts(spark, _refresh_folder(spark, sf, _partitioned(spark, sf)), "arl"))
+
+
+@query
+def account_folder_files(spark, sf):
+    """Per account, whether all its files are the same after the refresh of account 12."""
+    root = _partitioned(spark, sf)
+
+    def files(table):
+        meta = spark.read.parquet(f"{root}/{table}").select("ana", "_metadata.file_name", "_metadata.file_modification_time")
+        return meta.withColumn("in_table", F.lit(table)).distinct()
+
+    before = staged(files("diff").unionByName(files("arl")), "before")
+    _refresh_folder(spark, sf, root)
+    after = files("diff").unionByName(files("arl"))
+    found = before.withColumn("b", F.lit(1)).join(after.withColumn("a", F.lit(1)), before.columns, "full_outer")
+    return found.groupBy("ana").agg(F.bool_and(F.col("a").isNotNull() & F.col("b").isNotNull()).alias("untouched"))
+
+
 @query
 def account_key_scan(spark, sf):
     return scan_prefix(_accounts(spark, sf).diff, f"{ACCOUNT}#")
