@@ -302,7 +302,7 @@ def csv_columns(spark, sf):
     ).rows
 
 
-def _match_cells(spark, sf):
+def match_cells(spark, sf):
     rows = feed(spark, sf, "match_rows")
     return to_cells(
         rows,
@@ -314,11 +314,11 @@ def _match_cells(spark, sf):
 
 @query
 def match_table_cells(spark, sf):
-    return _match_cells(spark, sf)
+    return match_cells(spark, sf)
 
 
 def _lookup(spark, sf, **options):
-    return match_lookup(feed(spark, sf, "request_lines"), _match_cells(spark, sf), **options)
+    return match_lookup(feed(spark, sf, "request_lines"), match_cells(spark, sf), **options)
 
 
 @query
@@ -329,7 +329,7 @@ def match_lookup_latest(spark, sf):
 @query
 def match_lookup_of_one_family(spark, sf):
     """The table also holds later cells of another family, which answer nothing."""
-    cells = _match_cells(spark, sf)
+    cells = match_cells(spark, sf)
     other = cells.withColumns({"family": F.lit("other"), "ts_micros": F.lit(NEW_TS).cast("bigint"), "value": F.reverse("value")})
     return match_lookup(feed(spark, sf, "request_lines"), cells.unionByName(other))
 
@@ -356,7 +356,7 @@ def request_pairs(spark, sf):
 
 @query
 def hash_repair(spark, sf):
-    rows = pivot_rows(_match_cells(spark, sf), HASH_FAMILY, ["md5", "sha1", "sha256"])
+    rows = pivot_rows(match_cells(spark, sf), HASH_FAMILY, ["md5", "sha1", "sha256"])
     fixed = hashes_by_length(F.array("md5", "sha1", "sha256"))
     return rows.select("row_key", *[F.coalesce(c, F.lit("")).alias(n) for n, c in fixed.items()])
 

@@ -130,13 +130,15 @@ def match_requests(
     family: str = HASH_FAMILY,
     blank_matches_all: bool = False,
     salts: int = 8,
+    search: str = "lengths",
 ) -> DataFrame:
     """``cookie, pel`` rows -> ``cookie, md5, sha1, sha256``.
 
     The row with the greatest key that starts with the given id supplies all
     three hashes. Hashes filed under the wrong name are put right by length.
     Every request yields one row, with blanks where nothing was found. A blank
-    id finds nothing unless ``blank_matches_all``.
+    id finds nothing unless ``blank_matches_all``. ``search`` says how the greatest key
+    is found (see ``operators.lookup``).
     """
     asked = F.col("pel") if blank_matches_all else F.when(F.col("pel") != "", F.col("pel"))
     requests = requests.select("cookie", asked.alias("prefix"))
@@ -145,7 +147,7 @@ def match_requests(
     def filed_as(name: str) -> Column:
         return (F.col("family") == family) & (F.col("qualifier") == name)
 
-    found = last_row_by_prefix(table, prefixes, {name: filed_as(name) for name in HASH_COLUMNS})
+    found = last_row_by_prefix(table, prefixes, {name: filed_as(name) for name in HASH_COLUMNS}, search=search)
     filed = F.array(*[F.col(name) for name in HASH_COLUMNS])
     repaired = found.select("prefix", *[hashed.alias(name) for name, hashed in hashes_by_length(filed).items()])
     # One id, or no id, may be asked for by a large share of the requests.
