@@ -334,6 +334,7 @@ ORACLES: dict[str, str] = {
     "decrypt_files_rejects": "SELECT CAST(doc_id AS VARCHAR) AS path, 'decrypt_failed' AS reason FROM documents WHERE lang = 'de'",
     "decrypt_blocks_lines": f"""{_WHOLE} SELECT path, line_no, value FROM l
         WHERE path NOT IN (SELECT source FROM documents WHERE lang = 'de' AND source = 'src2')""",
+    "decrypt_framed_lines": f"{_WHOLE} SELECT path, line_no, value FROM l",
     "decrypted_file_lines": f"{_WHOLE} SELECT value FROM l",
     "single_file_delivery": f"""WITH {_PEOPLE}
         SELECT 1::BIGINT AS files, count(*) AS lines, count(DISTINCT (w[1], w[2])) AS different FROM words WHERE kind = 'email' AND len(w) = 2""",

@@ -65,6 +65,7 @@ from kinloom.plans.recent_pels import recent_pels
 from kinloom.plans.two_way import load_two_way
 from kinloom.session import scratch_dir, staged
 from kinloom.sources.buckets import open_buckets
+from kinloom.sources.framed import read_framed, write_framed
 from kinloom.sources.lines import read_files, read_lines
 from kinloom.sources.sinks import write_lines
 from kinloom.sources.snapshots import append_snapshot, open_snapshot, publish_snapshot
@@ -680,17 +681,30 @@ def decrypt_blocks_lines(spark, sf):
 @query
 def decrypted_file_lines(spark, sf):
     """Each source's texts sealed in blocks, written as files, read, opened and written as lines in order."""
-    docs = table(spark, sf, "documents").where("text <> ''")
+    docs = spread(table(spark, sf, "documents"))
     # Spark breaks base64 into lines; a block is one line.
-    sealed = F.translate(F.base64(F.aes_encrypt(F.col("text").cast("binary"), F.lit(KEY))), "\r\n", "")
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    sealed = F.translate(F.base64(F.aes_encrypt(text, F.lit(KEY))), "\r\n", "")
     path, out = scratch_dir(spark, "blocks"), scratch_dir(spark, "opened")
     lines = docs.select("source", F.concat_ws(" ", F.col("doc_id").cast("string"), sealed).alias("value"))
-    lines.repartition("source").write.partitionBy("source").text(path)
-    opened = decrypt_blocks(read_blocks(spark, path), key=KEY).lines
+    lines.write.partitionBy("source").text(path)
+    opened = decrypt_blocks(read_blocks(spark, path, name="source"), key=KEY).lines
     write_lines(opened, out, order=("path", "line_no"))
     return read_lines(spark, out)
 
 
+@query
+def decrypt_framed_lines(spark, sf):
+    """Each source's texts, empty ones too, as sealed blocks of binary files; a file is opened by many tasks."""
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    blocks = spread(table(spark, sf, "documents")).select(
+        "source", F.col("doc_id").alias("block_no"), F.aes_encrypt(text, F.lit(KEY)).alias("content")
+    )
+    path = scratch_dir(spark, "framed")
+    write_framed(blocks, path, by=("source",))
+    return decrypt_blocks(read_framed(spark, path, name="source"), key=KEY).lines
+
+
 @query
 def single_file_delivery(spark, sf):
     """Encrypted columns of one width, delivered as one file with its header."""

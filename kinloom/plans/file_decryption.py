@@ -60,7 +60,7 @@ def decrypt_files(files: DataFrame, *, key: Secret, charset: str = "UTF-8") -> D
 
 
 def decrypt_blocks(blocks: DataFrame, *, key: Secret, charset: str = "UTF-8") -> Decrypted:
-    """``path, block_no, value`` (a base64 AES-GCM message each) -> ``path, line_no, value``.
+    """``path, block_no, value`` (an AES-GCM message each, base64 or binary) -> ``path, line_no, value``.
 
     The text of a file is that of its blocks in the order of their numbers; a line may
     run over any number of them. A line ends with a line feed, a carriage return or
@@ -72,7 +72,10 @@ def decrypt_blocks(blocks: DataFrame, *, key: Secret, charset: str = "UTF-8") ->
     longer line, so only those are shuffled. Line ends are summed in two levels, of
     4096 blocks and of those sums, so no task has to order all blocks of a large file.
     """
-    sealed = F.try_to_binary(F.col("value"), F.lit("base64"))
+    binary = dict(blocks.dtypes)["value"] == "binary"
+    sealed = F.col("value") if binary else F.try_to_binary(F.col("value"), F.lit("base64"))
+    # A block without a number has no place.
+    sealed = F.when(F.col("block_no").isNotNull(), sealed)
     opened = _opened(blocks.select("path", "block_no", "value"), sealed, key, "ISO-8859-1")
     unix = F.regexp_replace("text", r"\r(?!\n|\z)|\r\n", "\n")
     pieces = F.when(F.col("text").isNotNull(), F.split(unix, "\n", -1))
@@ -114,8 +117,12 @@ def decrypt_blocks(blocks: DataFrame, *, key: Secret, charset: str = "UTF-8") ->
     )
 
 
-def read_blocks(spark: SparkSession, *paths: str) -> DataFrame:
-    """Block files, lines of a number, a blank and a base64 message, as ``path, block_no, value``."""
-    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), F.split("value", " ", 2).alias("f"))
+def read_blocks(spark: SparkSession, *paths: str, name: str | None = None) -> DataFrame:
+    """Block files, lines of a number, a blank and a base64 message, as ``path, block_no, value``.
+
+    ``path`` is that of the file, or the folder's value of column ``name``.
+    """
+    path = F.col(name) if name else F.col("_metadata.file_path")
+    lines = spark.read.text(list(paths)).select(path.alias("path"), F.split("value", " ", 2).alias("f"))
     number = F.get("f", F.lit(0)).try_cast("long")
     return lines.select("path", number.alias("block_no"), F.coalesce(F.get("f", F.lit(1)), F.lit("")).alias("value"))

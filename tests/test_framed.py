@@ -1,0 +1,52 @@
+"""Binary block files: one file is opened by many tasks."""
+
+from conftest import tuples
+
+from kinloom.plans.file_decryption import decrypt_blocks
+from kinloom.sources.framed import MARK, read_framed, write_framed
+from pyspark.sql import functions as F
+
+KEY = "0123456789abcdef0123456789abcdef"
+
+
+def sealed(spark, n):
+    """Block k holds the end of one line, a line and the start of the next; every seventh is empty."""
+    text = F.when(F.col("id") % 7 == 6, "").otherwise(F.concat(F.lit("x\r\n"), F.col("id").cast("string"), F.lit("\ny")))
+    return spark.range(n).select(F.col("id").alias("block_no"), F.aes_encrypt(text.cast("binary"), F.lit(KEY)).alias("content"))
+
+
+def test_one_file_is_read_by_many_tasks_and_its_lines_are_in_order(spark, tmp_path, setting):
+    write_framed(sealed(spark, 4000).coalesce(1), str(tmp_path / "f"))
+    assert len(list((tmp_path / "f").glob("part-*"))) == 1
+    setting(spark__sql__files__maxPartitionBytes="20k", spark__sql__files__openCostInBytes="1")
+    blocks = read_framed(spark, str(tmp_path / "f"))
+    per_task = [r["count"] for r in blocks.groupBy(F.spark_partition_id().alias("t")).count().collect()]
+    assert len(per_task) > 8 and sum(per_task) == 4000 and max(per_task) < 1000
+    assert blocks.select("block_no").distinct().count() == 4000
+    lines = decrypt_blocks(blocks, key=KEY).lines.orderBy("line_no").collect()
+    text = "".join("" if i % 7 == 6 else f"x\r\n{i}\ny" for i in range(4000))
+    assert [r.value for r in lines] == text.replace("\r\n", "\n").split("\n")
+    assert [r.line_no for r in lines] == list(range(len(lines)))
+
+
+def test_any_bytes_and_empty_blocks_come_back(spark, tmp_path):
+    contents = [bytes(range(256)), b"", b"\n\r\n", b"\xff\xfe", MARK.encode()[:-1], None]
+    rows = [("a" if i % 2 else "b", i, c) for i, c in enumerate(contents)]
+    df = spark.createDataFrame(rows, "name string, block_no long, content binary")
+    write_framed(df, str(tmp_path / "f"), by=("name",))
+    got = {(r.path, r.block_no): bytes(r.value) for r in read_framed(spark, str(tmp_path / "f"), name="name").collect()}
+    assert got == {(n, i): c or b"" for n, i, c in rows}
+
+
+def test_a_frame_without_a_number_fails_its_file(spark, tmp_path):
+    write_framed(sealed(spark, 5).coalesce(1), str(tmp_path / "good"))
+    write_framed(sealed(spark, 5).coalesce(1), str(tmp_path / "bad"))
+    (part,) = (tmp_path / "bad").glob("part-*")
+    data = part.read_bytes()
+    part.write_bytes(data[:3] + b"?" + data[4:])
+    (tmp_path / "bad" / f".{part.name}.crc").unlink(missing_ok=True)
+    opened = decrypt_blocks(read_framed(spark, str(tmp_path / "good"), str(tmp_path / "bad")), key=KEY)
+    assert opened.lines.select("path").distinct().count() == 1
+    (reject,) = opened.rejects.collect()
+    assert "/bad/" in reject["path"]
+    assert tuples(decrypt_blocks(read_framed(spark, str(tmp_path / "good")).limit(0), key=KEY).lines) == []
