@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -75,6 +76,9 @@ class Aligner:
                 raise ValueError("a piece has a blank within it: texts cannot be cut at blanks")
         self.b = Side(pieces)
         self.words = Words(self._encode, WORDS_BYTES)
+        numbers = [b"%d" % i for i in range(max(len(entries), len(pieces)))]
+        length = np.array([len(n) for n in numbers])
+        self.digits = np.frombuffer(b"".join(numbers), np.uint8), np.cumsum(length) - length, length
         self.forget()
 
     def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -134,42 +138,63 @@ class Aligner:
         self.pairs = np.empty(1 << 14, np.int64)
         self.count = self.used = self.held = 0
 
-    def align(self, key: bytes) -> tuple[str, int, list[int]]:
-        """The groups of a window as text, their number, and the linked pairs."""
-        ids = np.frombuffer(key, "<u4")
-        a, b = ids[1 : ids[0] + 1].tolist(), ids[ids[0] + 1 :].tolist()
-        ends_a, ends_b = np.cumsum(self.a.size[a]).tolist(), np.cumsum(self.b.size[b]).tolist()
-        pairs, groups, i, j, first_i, first_j = [], [], 0, 0, 0, 0
-        while i < len(a):
-            pairs.append(a[i] << 32 | b[j])
-            x, y = ends_a[i], ends_b[j]
-            i += x <= y
-            j += y <= x
-            if x == y:
-                groups.append(f"{','.join(map(str, a[first_i:i]))}|{','.join(map(str, b[first_j:j]))}")
-                first_i, first_j = i, j
-        return ";".join(groups), len(groups), pairs
+    def align(self, keys: list[bytes]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Of each window the groups as text, their number and that of its links; the linked pairs of all."""
+        flat = np.frombuffer(b"".join(keys), "<u4")
+        size = np.array([len(k) for k in keys]) // 4
+        base = np.cumsum(size) - size
+        size_a = flat[base].astype(np.int64)
+        size_b = size - 1 - size_a
+        a, b = flat[ragged(base + 1, size_a)].astype(np.int64), flat[ragged(base + 1 + size_a, size_b)].astype(np.int64)
+        # Windows follow one another and each has as many bytes on both sides.
+        end_a, end_b = np.cumsum(self.a.size[a]), np.cumsum(self.b.size[b])
+        first = np.searchsorted(end_b, end_a - self.a.size[a], "right")
+        stop = np.searchsorted(end_b - self.b.size[b], end_a, "left")
+        many = stop - first
+        pairs = np.repeat(a, many) << 32 | b[ragged(first, many)]
+        closes_a = end_b[np.minimum(np.searchsorted(end_b, end_a), len(b) - 1)] == end_a
+        closes_b = end_a[np.minimum(np.searchsorted(end_a, end_b), len(a) - 1)] == end_b
+        last_a, last_b = np.cumsum(size_a) - 1, np.cumsum(size_b) - 1
+        groups = np.diff(np.cumsum(closes_a)[last_a], prepend=0)
+        links = np.diff(np.cumsum(many)[last_a], prepend=0)
+        # Of each group the first ids, then the second ones, each with the sign behind it.
+        group_a = np.cumsum(closes_a) - closes_a
+        group_b = np.cumsum(closes_b) - closes_b
+        before_b = np.append(0, np.cumsum(np.bincount(group_b)))[group_a]
+        through_a = np.cumsum(np.bincount(group_a))[group_b]
+        sign_b = np.where(closes_b, ord(";"), ord(","))
+        sign_b[last_b] = ord("\n")
+        ids, signs = np.empty(len(a) + len(b), np.int64), np.empty(len(a) + len(b), np.uint8)
+        for place, side, sign in ((np.arange(len(a)) + before_b, a, np.where(closes_a, ord("|"), ord(","))), (np.arange(len(b)) + through_a, b, sign_b)):
+            ids[place], signs[place] = side, sign
+        digits, start, length = self.digits
+        width = length[ids]
+        at = np.cumsum(width + 1) - width - 1
+        text = np.empty(int((width + 1).sum()), np.uint8)
+        text[ragged(at, width)] = digits[ragged(start[ids], width)]
+        text[at + width] = signs
+        return text.tobytes().decode("ascii").split("\n")[:-1], groups, links, pairs
 
     def numbers(self, keys: list[bytes]) -> np.ndarray:
         """A number for each different window."""
-        out = np.empty(len(keys), np.int64)
-        for k, key in enumerate(keys):
-            number = self.known.get(key)
-            if number is None:
-                text, groups, pairs = self.align(key)
-                number = self.count
-                if number + 1 >= len(self.at):
-                    self.groups, self.links, self.at = (np.resize(x, 2 * len(x)) for x in (self.groups, self.links, self.at))
-                if self.used + len(pairs) > len(self.pairs):
-                    self.pairs = np.resize(self.pairs, 2 * (self.used + len(pairs)))
-                self.pairs[self.used : self.used + len(pairs)] = pairs
-                self.groups[number], self.links[number], self.at[number] = groups, len(pairs), self.used
-                self.used += len(pairs)
-                self.count += 1
-                self.text.append(text)
-                self.known[key] = number
-                self.held += len(key) + len(text) + 8 * len(pairs) + 240
-            out[k] = number
+        out = np.fromiter(map(self.known.get, keys, repeat(-1)), np.int64, len(keys))
+        missing = np.flatnonzero(out < 0)
+        if len(missing):
+            fresh = [keys[i] for i in missing]
+            text, groups, links, pairs = self.align(fresh)
+            count, used = self.count + len(fresh), self.used + len(pairs)
+            if count > len(self.at):
+                self.groups, self.links, self.at = (np.resize(x, 2 * count) for x in (self.groups, self.links, self.at))
+            if used > len(self.pairs):
+                self.pairs = np.resize(self.pairs, 2 * used)
+            new = slice(self.count, count)
+            self.groups[new], self.links[new], self.at[new] = groups, links, self.used + np.cumsum(links) - links
+            self.pairs[self.used : used] = pairs
+            self.text += text
+            out[missing] = np.arange(self.count, count)
+            self.known |= dict(zip(fresh, range(self.count, count), strict=True))
+            self.count, self.used = count, used
+            self.held += sum(map(len, fresh)) + sum(map(len, text)) + 8 * len(pairs) + 240 * len(fresh)
         return out
 
     def pairs_of(self, windows: np.ndarray) -> np.ndarray:
