@@ -227,6 +227,11 @@ ORACLES: dict[str, str] = {
         SELECT DISTINCT key AS row_key, 'links' AS family, linked AS qualifier, 2000::BIGINT AS ts_micros, '' AS value FROM links""",
     "two_way_reverse": f"""WITH {_LINKS}
         SELECT DISTINCT linked AS row_key, 'links' AS family, key AS qualifier, 2000::BIGINT AS ts_micros, '' AS value FROM links""",
+    "two_way_fan_out": f"""WITH all_tokens AS (
+            SELECT value, list_filter(string_split(value, '|'), lambda t: t <> '') AS t FROM ({_lines('two_way_lines')})), {_LINKS}
+        SELECT DISTINCT 'forward' AS sink, key, linked FROM links
+        UNION ALL SELECT DISTINCT 'reverse', linked, key FROM links
+        UNION ALL SELECT 'rejects', value, 'no_value' FROM all_tokens WHERE len(t) < 2""",
     "one_to_many_rows": f"WITH {_LINKS} SELECT key, linked FROM links",
     "pii_expansion": f"""WITH {_PEOPLE}, {_GROUPS}
         SELECT DISTINCT '{REGION}#' || kind || '#' || hash AS row_key, 'group' AS family, group_key AS qualifier,

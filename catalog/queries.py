@@ -189,6 +189,20 @@ def two_way_reverse(spark, sf):
     return _two_way(spark, sf).reverse
 
 
+@query
+def two_way_fan_out(spark, sf):
+    """Both tables and the rejects from one parse, each row with its sink."""
+    loaded = load_two_way(
+        feed(spark, sf, "two_way_lines"), None, None, family="links", load_ts=NEW_TS, once=True
+    )
+
+    def to(sink, rows, key, linked):
+        return rows.select(F.lit(sink).alias("sink"), F.col(key).alias("key"), F.col(linked).alias("linked"))
+
+    tables = to("forward", loaded.forward, "row_key", "qualifier").unionByName(to("reverse", loaded.reverse, "row_key", "qualifier"))
+    return tables.unionByName(to("rejects", loaded.rejects, "value", "reason"))
+
+
 @query
 def one_to_many_rows(spark, sf):
     rows = parse_one_to_many(feed(spark, sf, "two_way_lines")).rows

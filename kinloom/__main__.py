@@ -88,6 +88,7 @@ def build_mapping(spark, args):
         md5=args.md5_index,
         sha1=args.sha1_index,
         sha256=args.sha256_index,
+        once=True,  # rows are read for the mapping and for the hashes that fail
     )
     write_lines(mapping_lines(built.mapping), args.output, single_file=args.single_file)
     _save_rejects(built.rejects, args)
@@ -96,7 +97,7 @@ def build_mapping(spark, args):
 def load_mapping(spark, args):
     table = _Table(spark, args, args.table)
     loaded = load_arl_pel(
-        _lines(spark, args, args.input), table.cells, family=args.family
+        _lines(spark, args, args.input), table.cells, family=args.family, once=bool(args.rejects)
     )
     table.publish(loaded.table)
     _save_rejects(loaded.rejects, args)
@@ -105,12 +106,13 @@ def load_mapping(spark, args):
 def load_links(spark, args):
     forward, reverse = _Table(spark, args, args.forward), _Table(spark, args, args.reverse)
     loaded = load_two_way(
-        _once(_lines(spark, args, args.input), args),
+        _lines(spark, args, args.input),
         forward.cells,
         reverse.cells,
         family=args.family,
         delimiter=args.delimiter,
         load_ts=args.load_ts,
+        once=True,
     )
     forward.publish(loaded.forward)
     reverse.publish(loaded.reverse)
@@ -131,6 +133,7 @@ def load_matches_join(spark, args):
         pel_fn=identity.salted_pel(_secret(spark, args, "salt")),
         family=args.family,
         delimiter=args.delimiter,
+        once=bool(args.rejects),
     )
     table.publish(loaded.table)
     _save_rejects(loaded.rejects, args)
@@ -144,6 +147,7 @@ def load_matches_by_length(spark, args):
         pel_fn=identity.salted_pel(_secret(spark, args, "salt")),
         family=args.family,
         delimiter=args.delimiter,
+        once=bool(args.rejects),
     )
     table.publish(loaded.table)
     _save_rejects(loaded.rejects, args)
@@ -224,6 +228,7 @@ def expand(spark, args):
         table.cells,
         region=args.region,
         load_ts=args.load_ts,
+        once=bool(args.rejects),
     )
     table.publish(expanded.table, by_key=True)
     _save_rejects(expanded.rejects, args)

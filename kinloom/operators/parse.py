@@ -24,6 +24,7 @@ from kinloom.functions.text import (
     strip_outer_quotes,
     trim_control,
 )
+from kinloom.session import scratch_dir
 from kinloom.sources.lines import infer_delimiter
 
 
@@ -32,14 +33,27 @@ class Parsed(NamedTuple):
     rejects: DataFrame
 
 
+# Folders of a fan-out.
+ROWS, REJECTS = "rows", "rejects"
+
+
 def divide(
-    df: DataFrame, faults: dict[str, Column], rows: list[Column], observation: Observation | None
+    df: DataFrame,
+    faults: dict[str, Column],
+    rows: list[Column],
+    observation: Observation | None,
+    once: bool = False,
 ) -> Parsed:
     """Route each line by the first fault that holds (a NULL condition does not).
 
     The fields leave through a one-element ``inline``. A filter on them cannot
     be pushed below it, where the whole parse would be computed a second time to
     decide which lines to keep.
+
+    ``once`` is for jobs with several outputs: rows and rejects are written to the shared
+    folder in one job, each line under the folder of the sink it goes to, and what follows
+    reads its folder. Lines are then read and parsed once, whatever is made of them, and an
+    observation counts them once.
     """
     reason = F.lit(None).cast("string")
     for name, condition in reversed(faults.items()):
@@ -50,12 +64,29 @@ def divide(
     if observation is not None:
         counters = [F.count_if(F.col("reason") == name).alias(name) for name in faults]
         observed = routed.observe(observation, F.count(F.lit(1)).alias("lines"), *counters)
+    if once:
+        return _fanned_out(observed, fields)
     return Parsed(
         observed.where(F.col("reason").isNull()).select(*fields),
         routed.where(F.col("reason").isNotNull()).select("value", "reason"),
     )
 
 
+def _fanned_out(routed: DataFrame, fields: list[str]) -> Parsed:
+    """One write of all lines, divided by sink; a row keeps its fields and a reject its line."""
+    spark, path = routed.sparkSession, scratch_dir(routed.sparkSession, "parsed")
+    fault = F.col("reason").isNotNull()
+    kept = [F.when(~fault, F.col(name)).alias(name) for name in fields]
+    sink = F.when(fault, F.lit(REJECTS)).otherwise(F.lit(ROWS)).alias("sink")
+    out = routed.select(F.when(fault, F.col("value")).alias("value"), "reason", *kept, sink)
+    out.write.partitionBy("sink").parquet(path)
+    back = spark.read.schema(out.schema).parquet(path)
+    return Parsed(
+        back.where(F.col("sink") == ROWS).select(*fields),
+        back.where(F.col("sink") == REJECTS).select("value", "reason"),
+    )
+
+
 def _element(array: str, index: int) -> Column:
     return F.get(F.col(array), F.lit(index))
 
@@ -68,6 +99,7 @@ def parse_account_lines(
     delimiter: str | None = None,
     strict: bool = False,
     observation: Observation | None = None,
+    once: bool = False,
 ) -> Parsed:
     """``key=value`` lists -> ``cid, pel``.
 
@@ -123,6 +155,7 @@ def parse_account_lines(
         },
         [F.col("cid"), F.col("pel")],
         observation,
+        once,
     )
 
 
@@ -134,6 +167,7 @@ def parse_columns(
     delimiter: str = "|",
     quoted: bool = True,
     observation: Observation | None = None,
+    once: bool = False,
 ) -> Parsed:
     """Delimited lines -> the named columns at the given positions.
 
@@ -154,7 +188,7 @@ def parse_columns(
     )
     faults = {"open_quote": F.col("open_quote")}
     faults.update({f"blank_{name}": is_blank(F.col(name)) for name in required})
-    return divide(named, faults, [F.col(name) for name in columns], observation)
+    return divide(named, faults, [F.col(name) for name in columns], observation, once)
 
 
 def parse_pairs(
@@ -164,6 +198,7 @@ def parse_pairs(
     trim: bool = True,
     allow_blank: bool = True,
     observation: Observation | None = None,
+    once: bool = False,
 ) -> Parsed:
     """Lines of exactly two fields -> ``key, value_``."""
 
@@ -175,11 +210,11 @@ def parse_pairs(
     faults = {"width": F.size("fields") != 2}
     if not allow_blank:
         faults["blank_field"] = (field(0) == "") | (field(1) == "")
-    return divide(fields, faults, [field(0).alias("key"), field(1).alias("value_")], observation)
+    return divide(fields, faults, [field(0).alias("key"), field(1).alias("value_")], observation, once)
 
 
 def parse_one_to_many(
-    lines: DataFrame, *, delimiter: str = "|", observation: Observation | None = None
+    lines: DataFrame, *, delimiter: str = "|", observation: Observation | None = None, once: bool = False
 ) -> Parsed:
     """``key | value | value ...`` -> one ``key, value_`` row per value.
 
@@ -193,11 +228,12 @@ def parse_one_to_many(
         {"no_value": F.size("fields") < 2},
         [_element("fields", 0).alias("key"), values.alias("values")],
         observation,
+        once,
     )
     return Parsed(parsed.rows.select("key", F.explode("values").alias("value_")), parsed.rejects)
 
 
-def parse_id_hash(lines: DataFrame, *, observation: Observation | None = None) -> Parsed:
+def parse_id_hash(lines: DataFrame, *, observation: Observation | None = None, once: bool = False) -> Parsed:
     """Lines of exactly two words -> ``id, hash``."""
     fields = lines.select("value", F.split(trim_control(F.col("value")), "\\s+", -1).alias("fields"))
     return divide(
@@ -205,6 +241,7 @@ def parse_id_hash(lines: DataFrame, *, observation: Observation | None = None) -
         {"width": F.size("fields") != 2},
         [_element("fields", 0).alias("id"), _element("fields", 1).alias("hash")],
         observation,
+        once,
     )
 
 
@@ -214,6 +251,7 @@ def parse_hashes_by_length(
     delimiter: str = "|",
     quoted: bool = True,
     observation: Observation | None = None,
+    once: bool = False,
 ) -> Parsed:
     """``key | hash | hash ...`` in any order -> ``key, md5, sha1, sha256``.
 
@@ -233,6 +271,7 @@ def parse_hashes_by_length(
         [_element("fields", 0).alias("key")]
         + [hashed.alias(kind) for kind, hashed in hashes_by_length(F.col("rest")).items()],
         observation,
+        once,
     )
 
 
@@ -245,6 +284,7 @@ def parse_identity_records(
     sha256: int = 3,
     delimiter: str = "|",
     observation: Observation | None = None,
+    once: bool = False,
 ) -> Parsed:
     """Person records -> one ``hash, clink, hash_type`` row per hash column."""
     positions = {"clink": clink, "MD5": md5, "SHA1": sha1, "SHA256": sha256}
@@ -263,6 +303,7 @@ def parse_identity_records(
         {"width": F.size("fields") <= max(positions.values())},
         [_element("fields", clink).alias("clink"), hashes.alias("hashes")],
         observation,
+        once,
     )
     rows = parsed.rows.select("clink", F.inline("hashes")).select("hash", "clink", "hash_type")
     return Parsed(rows, parsed.rejects)
@@ -282,7 +323,7 @@ def hash_faults(rows: DataFrame) -> DataFrame:
     )
 
 
-def parse_arl_pel(lines: DataFrame, *, observation: Observation | None = None) -> Parsed:
+def parse_arl_pel(lines: DataFrame, *, observation: Observation | None = None, once: bool = False) -> Parsed:
     """``arl|pel`` lines with a hex key -> ``arl`` (binary), ``pel``."""
     fields = lines.select("value", split_all(F.col("value"), "|").alias("fields")).select(
         "value",
@@ -299,4 +340,5 @@ def parse_arl_pel(lines: DataFrame, *, observation: Observation | None = None) -
         },
         [F.unhex("arl").alias("arl"), F.col("pel")],
         observation,
+        once,
     )

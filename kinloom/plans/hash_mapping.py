@@ -41,6 +41,7 @@ def build_arl_pel_mapping(
     sha256: int = 3,
     delimiter: str = "|",
     observation: Observation | None = None,
+    once: bool = False,
 ) -> Mapping:
     """``arl`` (hex), ``pel`` per distinct valid hash.
 
@@ -56,6 +57,7 @@ def build_arl_pel_mapping(
         sha256=sha256,
         delimiter=delimiter,
         observation=observation,
+        once=once,
     )
     owners = owner_per_hash(valid_hashes(records.rows))
     mapping = owners.select(
@@ -76,9 +78,10 @@ def load_arl_pel(
     *,
     family: str,
     observation: Observation | None = None,
+    once: bool = False,
 ) -> Loaded:
     """Upsert ``arl|pel`` lines, keyed by the decoded hash, at timestamp 0."""
-    parsed = parse_arl_pel(lines, observation=observation)
+    parsed = parse_arl_pel(lines, observation=observation, once=once)
     puts = to_cells(
         parsed.rows,
         row_key=F.col("arl"),

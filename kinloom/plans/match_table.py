@@ -50,6 +50,7 @@ def load_match_table_join(
     delimiter: str = "|",
     quoted: bool = True,
     salts: int = 8,
+    once: bool = False,
 ) -> Loaded:
     """Load the knowledge-base records whose sha256 the provider also lists.
 
@@ -64,6 +65,7 @@ def load_match_table_join(
         required=("sha256",),
         delimiter=delimiter,
         quoted=quoted,
+        once=once,
     )
     kb = parse_columns(
         kb_lines,
@@ -71,6 +73,7 @@ def load_match_table_join(
         required=("sha256", "clink"),
         delimiter=delimiter,
         quoted=quoted,
+        once=once,
     )
     matched = salted_join(
         kb.rows,
@@ -96,10 +99,11 @@ def load_match_table_by_length(
     delimiter: str = "|",
     quoted: bool = True,
     observation: Observation | None = None,
+    once: bool = False,
 ) -> Loaded:
     """Load records whose hashes come in any order, classified by length."""
     parsed = parse_hashes_by_length(
-        lines, delimiter=delimiter, quoted=quoted, observation=observation
+        lines, delimiter=delimiter, quoted=quoted, observation=observation, once=once
     )
     rows = parsed.rows.select(pel_fn(F.col("key")).alias("pel"), *HASH_COLUMNS).where(
         ~is_blank(F.col("pel"))

@@ -26,14 +26,16 @@ def load_two_way(
     delimiter: str = "|",
     load_ts: int | Column | None = None,
     observation: Observation | None = None,
+    once: bool = False,
 ) -> TwoWay:
     """Load ``key | value | value ...`` lines into two mirrored tables.
 
     The linked value is the qualifier of a blank cell, so a row is a set. Tables
     are hashed by the full cell address, and a value linked to very many keys
-    spreads over the cluster.
+    spreads over the cluster. With ``once`` the lines are parsed by one job, whose rows
+    feed both tables (see ``operators.parse.divide``).
     """
-    parsed = parse_one_to_many(lines, delimiter=delimiter, observation=observation)
+    parsed = parse_one_to_many(lines, delimiter=delimiter, observation=observation, once=once)
     ts = load_time() if load_ts is None else load_ts
 
     def links(row_key: str, qualifier: str) -> DataFrame:
