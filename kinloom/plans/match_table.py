@@ -17,7 +17,7 @@ from kinloom.operators.parse import (
     parse_hashes_by_length,
     parse_pairs,
 )
-from kinloom.operators.skew import salted_join
+from kinloom.operators.skew import salted_join, sketched_join
 from kinloom.plans.hash_mapping import Loaded
 from kinloom.sources.sinks import join_fields
 
@@ -50,14 +50,14 @@ def load_match_table_join(
     delimiter: str = "|",
     quoted: bool = True,
     salts: int = 8,
-    once: bool = False,
 ) -> Loaded:
     """Load the knowledge-base records whose sha256 the provider also lists.
 
     A match only decides whether a record is loaded, so this is a semi-join
     against the distinct provider hashes: repeated hashes do not multiply rows.
-    One hash may be carried by a large share of the records, so the join is
-    salted.
+    One hash may be carried by a large share of the records. Those that are, a sketch
+    of the records' hashes finds, and only they are salted; the records are parsed by one
+    job that writes them by sink, so the sketch reads one column.
     """
     provider = parse_columns(
         provider_lines,
@@ -65,7 +65,6 @@ def load_match_table_join(
         required=("sha256",),
         delimiter=delimiter,
         quoted=quoted,
-        once=once,
     )
     kb = parse_columns(
         kb_lines,
@@ -73,9 +72,9 @@ def load_match_table_join(
         required=("sha256", "clink"),
         delimiter=delimiter,
         quoted=quoted,
-        once=once,
+        once=True,
     )
-    matched = salted_join(
+    matched = sketched_join(
         kb.rows,
         provider.rows.distinct(),
         "sha256",

@@ -1,0 +1,55 @@
+"""Only keys of many rows are copied."""
+
+import pytest
+from conftest import tuples
+
+from kinloom.operators.skew import heavy_keys, sketched_join
+from pyspark.sql import functions as F
+
+
+@pytest.fixture
+def rows(spark):
+    """A third of the rows has one key, a tenth another, the rest a key each; some have none."""
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 10 == 1, "warm").when(F.col("id") % 97 == 2, None).otherwise(F.col("id").cast("string"))
+    return spark.range(30_000).select("id", key.alias("k"))
+
+
+def test_heavy_keys_are_found(spark, rows):
+    found = spark.range(1).select(heavy_keys(rows, "k").alias("h")).first()["h"]
+    assert set(found) - {None} == {"hot", "warm"}
+    assert spark.range(1).select(heavy_keys(rows.limit(0), "k").alias("h")).first()["h"] == []
+    with pytest.raises(ValueError):
+        heavy_keys(rows, "k", share=1e-6)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_results_are_those_of_a_plain_join(rows, how):
+    keys = rows.where("id % 2 = 0").select("k").distinct()
+    got = sketched_join(rows, keys, "k", spread_by=F.col("id"), how=how, salts=8)
+    assert tuples(got.select("id", "k")) == tuples(rows.join(keys, "k", how).select("id", "k"))
+
+
+def test_copies(rows, setting):
+    """Eight copies of each of two heavy keys and one of all others; the heavy rows go to eight places."""
+    setting(spark__sql__autoBroadcastJoinThreshold="-1")
+    keys = rows.select("k").where("k IS NOT NULL").distinct()
+    joined = sketched_join(rows, keys, "k", spread_by=F.col("id"), how="left_semi", salts=8)
+    joined.collect()
+    nodes, made = [joined._jdf.queryExecution().executedPlan()], []
+    inner = {"AdaptiveSparkPlanExec": "executedPlan", "ResultQueryStageExec": "plan", "ShuffleQueryStageExec": "plan"}
+    while nodes:
+        node = nodes.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "GenerateExec":
+            made.append(node.metrics().apply("numOutputRows").value())
+        if kind in inner:
+            nodes.append(getattr(node, inner[kind])())
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    assert made == [keys.count() + 2 * 7]
+
+
+def test_wrong_arguments(rows):
+    for options in ({"how": "full"}, {"how": "inner", "salts": 3}):
+        with pytest.raises(ValueError):
+            sketched_join(rows, rows, "k", spread_by=F.col("id"), **options)
