@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from itertools import repeat
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -19,12 +20,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinloom.llm.common import texts
+from kinloom.llm.word_bpe import LATIN
 from kinloom.llm.wordwise import Words, body, cut_at, ragged, steps
 from kinloom.session import staged
 
 EMPTY, BLANK = pa.scalar(b"", pa.large_binary()), pa.scalar(b" ", pa.large_binary())
+#: What stands before a word that is cut off after a letter, while it is encoded.
+LEAD = b" a"
+LETTER = np.zeros(256, bool)
+LETTER[[*range(65, 91), *range(97, 123)]] = True
 OF_B = np.uint32(1 << 31)
-WORDS_BYTES, WINDOWS_BYTES = 64 << 20, 80 << 20
+WORDS_BYTES, WINDOWS_BYTES = 112 << 20, 80 << 20
 #: Pairs of ids whose counts are sent to all tasks: 17 bytes each. Rarer ones are joined.
 SENT_PAIRS = 2_000_000
 PAIRS = "pair long, n long"
@@ -50,9 +56,9 @@ class Side:
 class Aligner:
     """Tokens and window alignments of texts, remembered within bounds of bytes.
 
-    Words are cut before a blank between two characters that are surely no white space:
-    there no token of either vocabulary reaches over, so a word has the ids it has in its
-    text. Words that the second tokenizer does not give back byte for byte have no ids.
+    Words are cut before a blank between two characters that are surely no white space, and
+    between a letter and a mark that no piece has after a letter: there no token of either
+    vocabulary reaches over, so a word has the ids it has in its text. Words that the second tokenizer does not give back byte for byte have no ids.
     """
 
     def __init__(self, byte_bpe: str, piece_bpe: str):
@@ -75,6 +81,10 @@ class Aligner:
             if "▁" in piece.lstrip("▁"):
                 raise ValueError("a piece has a blank within it: texts cannot be cut at blanks")
         self.b = Side(pieces)
+        plain = [p for i in range(len(pieces)) if not (self.piece_bpe.is_control(i) or self.piece_bpe.is_unknown(i)) for p in [self.piece_bpe.id_to_piece(i)]]
+        joined = {y for p in plain for x, y in zip(p, p[1:]) if x.isalpha()}
+        self.marks = np.zeros(256, bool)
+        self.marks[[ord(m) for m in punctuation if m not in joined]] = True
         self.words = Words(self._encode, WORDS_BYTES)
         numbers = [b"%d" % i for i in range(max(len(entries), len(pieces)))]
         length = np.array([len(n) for n in numbers])
@@ -85,10 +95,19 @@ class Aligner:
         ids, size = [], []
         for at in range(0, len(words), 1000):
             some = words[at : at + 1000]
-            both = self._together(some)
-            for one in [self._alone(w) for w in some] if both is None else [both]:
-                ids.append(one[0])
-                size.append(one[1])
+            # A mark that follows a letter is encoded after one, which is then left out.
+            led = [w[:1] != b" " for w in some]
+            listed = [x for w, lead in zip(some, led, strict=True) for x in ([LEAD, w] if lead else [w])]
+            both = self._together(listed)
+            if both is None:
+                for one in map(self._alone, some):
+                    ids.append(one[0])
+                    size.append(one[1])
+                continue
+            own = np.ones(len(listed), bool)
+            own[(np.flatnonzero(led) + np.arange(sum(led)))] = False
+            ids.append(both[0][np.repeat(own, both[1])])
+            size.append(both[1][own])
         return np.concatenate(ids), np.concatenate(size)
 
     def _tokens(self, text: bytes) -> tuple[np.ndarray, np.ndarray] | None:
@@ -100,10 +119,11 @@ class Aligner:
         return np.array(a, np.uint32), np.array(b, np.uint32)
 
     def _alone(self, word: bytes) -> tuple[np.ndarray, np.ndarray]:
-        tokens = self._tokens(word)
+        lead = word[:1] != b" "
+        tokens = self._tokens(LEAD + word if lead else word)
         if tokens is None:
             return np.empty(0, np.uint32), np.array([0])
-        a, b = tokens
+        a, b = (x[1:] for x in tokens) if lead else tokens
         return np.concatenate([a, b | OF_B]), np.array([len(a) + len(b)])
 
     def _together(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray] | None:
@@ -209,7 +229,7 @@ class Aligner:
                 self.forget()
             some = pc.binary_length(part).to_numpy() > 0
             raw, offsets = body(pc.binary_join_element_wise(EMPTY, part.filter(pa.array(some)), BLANK))
-            cuts = np.append(np.flatnonzero(word_starts(raw, offsets)), len(raw))
+            cuts = np.append(np.flatnonzero(word_starts(raw, offsets, self.marks)), len(raw))
             words = cut_at(raw, cuts)
             number, code = self.words.numbers(words.dictionary.to_pylist()), words.indices.to_numpy()
             size = self.words.size[number].astype(np.int64)[code]
@@ -219,9 +239,10 @@ class Aligner:
             doc, code, size = doc[kept], code[kept], size[kept]
             ids = self.words.pool[ragged(self.words.at[number][code], size)]
             of_b = ids >= OF_B
-            in_doc = np.repeat(doc, size)
             a, b = ids[~of_b], ids[of_b] & ~OF_B
-            n_a, n_b = np.bincount(in_doc[~of_b], minlength=n), np.bincount(in_doc[of_b], minlength=n)
+            ends = np.append(0, np.cumsum(size))[np.searchsorted(doc, np.arange(n + 1))]
+            n_b = np.diff(np.append(0, np.cumsum(of_b))[ends])
+            n_a = np.diff(ends) - n_b
             n_w, keys = self._cut(a, b, n_a, n_b)
             yield first, n, n_a, n_b, n_w, self.numbers(keys.dictionary.to_pylist())[keys.indices.to_numpy()]
 
@@ -256,8 +277,8 @@ def ends_blank(word: bytes) -> bool:
     return last <= 32 or last == 127 or (last > 127 and (word[-2:-1] == b"\xc2" or word[-3:-2] in (b"\xe1", b"\xe2", b"\xe3")))
 
 
-def word_starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where words of texts begin: at their start, and at blanks between what is surely no white space.
+def word_starts(raw: np.ndarray, offsets: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Where words of texts begin: at their start, at blanks between what is surely no white space, at marks after letters.
 
     White space beyond ASCII begins with the bytes C2, E1, E2 or E3.
     """
@@ -268,6 +289,9 @@ def word_starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     last[2:] &= ~np.isin(raw[:-2], [0xE1, 0xE2, 0xE3])
     out = np.zeros(len(raw), bool)
     out[1:-1] = (raw[1:-1] == 32) & last[:-2] & lead[2:]
+    letter = LETTER[raw]
+    letter[1:] |= (raw[:-1] == 0xC3) & LATIN[raw[1:]]
+    out[1:] |= marks[raw[1:]] & letter[:-1]
     out[offsets[:-1]] = True
     return out
 

@@ -19,7 +19,7 @@ from .conftest import ODD, SF
 from .test_token_files import TRICKY
 
 BYTES, PIECES = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
-SPACES = ["  a  b \n c\t d", " \n x", "x ", "   ", "\n", "a b   c  d 　e", "▁ a ▁b", "a▁", "don't  stop  's", "x\x00y \x7f z", "ж ж щ", "a 　b", "<|endoftext|> x <s> </s> <unk> <0x41>"]
+SPACES = ["a.b..c!d's e'S é.x É!y ×.z ÷,q ß;ß", ".", "x.", "x. .y", "don't", "a▁.b", "x,\u3000y", "Zoë's.\n.", "  a  b \n c\t d", " \n x", "x ", "   ", "\n", "a b   c  d 　e", "▁ a ▁b", "a▁", "don't  stop  's", "x\x00y \x7f z", "ж ж щ", "a 　b", "<|endoftext|> x <s> </s> <unk> <0x41>"]
 
 
 @pytest.fixture(scope="module")
