@@ -38,6 +38,14 @@ owners AS (
     SELECT hash, clink, hash_type FROM claims
     WHERE length(hash) % 2 = 0 AND regexp_full_match(hash, '[0-9a-fA-F]+')
     QUALIFY row_number() OVER (PARTITION BY hash ORDER BY right(clink, 16), clink, hash_type) = 1)"""
+_FIRST_LOAD = "substr(md5(value), 1, 1) < '8'"
+_LOAD_OWNERS = f"""{_RECORDS.replace("AS f FROM", f"AS f, {_FIRST_LOAD} AS is_first FROM").replace("AS hash_type FROM", "AS hash_type, is_first FROM").replace("'SHA1' FROM", "'SHA1', is_first FROM").replace("'SHA256' FROM", "'SHA256', is_first FROM")},
+valid AS (SELECT * FROM claims WHERE length(hash) % 2 = 0 AND regexp_full_match(hash, '[0-9a-fA-F]+')),
+before AS (SELECT * FROM valid WHERE is_first
+    QUALIFY row_number() OVER (PARTITION BY hash ORDER BY right(clink, 16), clink, hash_type) = 1),
+after AS (SELECT * FROM valid
+    QUALIFY row_number() OVER (PARTITION BY hash ORDER BY right(clink, 16), clink, hash_type) = 1)"""
+_FAULT = "CASE WHEN length(hash) % 2 = 1 THEN 'odd_length' WHEN NOT regexp_full_match(hash, '[0-9a-fA-F]+') THEN 'bad_chars' ELSE 'success' END"
 _MAPPING = f"""{_OWNERS},
 mapping AS (SELECT {_hash_arl('hash', 'hash_type')} AS arl, {_pel('clink')} AS pel FROM owners)"""
 _RECORD_REJECTS = f"""{_MAPPING},
@@ -211,7 +219,36 @@ _WHOLE = f"""WITH w AS (SELECT source AS path, {_TEXT_LINES.replace("text", "t")
     FROM (SELECT source, string_agg(text, '' ORDER BY doc_id) AS t FROM documents WHERE text <> '' GROUP BY source)),
 l AS (SELECT path, CAST(unnest(range(len(g))) AS BIGINT) AS line_no, unnest(g) AS value FROM w)"""
 
+# Dialects
+
+_NOTES = "repeat('a, b, c; ', (o_orderkey % 7)::INT)"
+_DIALECT_FEEDS = f"""feeds AS (
+    SELECT 'pipes' AS feed, value FROM ({_lines('kb_lines')})
+    UNION ALL SELECT 'tabs', replace(replace(value, '"', ''), '|', chr(9)) FROM ({_lines('kb_lines')})
+    UNION ALL SELECT 'semicolons', replace(value, '|', ';') FROM ({_lines('kb_lines')})
+    UNION ALL SELECT 'quoted_commas', '"' || {_NOTES} || 'x",' || o_orderstatus || ',' || o_custkey FROM orders
+    UNION ALL SELECT 'uneven_commas', o_orderkey || '|' || {_NOTES} || '|' || o_orderstatus FROM orders)"""
+_DIALECT_SCORES = f"""{_DIALECT_FEEDS},
+signs AS (SELECT unnest([',', '|', ';', chr(9)]) AS sign, unnest([0, 1, 2, 3]) AS i),
+texts AS (
+    SELECT feed, 0 AS j, value AS t, false AS is_open FROM feeds
+    UNION ALL SELECT feed, 1, regexp_replace(value, '"[^"]*"', '', 'g'), contains(regexp_replace(value, '"[^"]*"', '', 'g'), '"') FROM feeds),
+counted AS (
+    SELECT feed, 2 * i + j AS dialect,
+        CASE WHEN is_open OR (j = 0 AND regexp_matches(t, '(^|[' || sign || '])"[^"' || sign || ']*([' || sign || ']|$)')) THEN 1 ELSE least(len(string_split(t, sign)), 256) END AS fields, count(*)::DOUBLE AS n
+    FROM texts CROSS JOIN signs GROUP BY ALL),
+scores AS (
+    SELECT feed, dialect::INT AS dialect, sum(n * n * (fields - 1) / fields) / (sum(n) * sum(n)) AS score FROM counted GROUP BY ALL)"""
+
 ORACLES: dict[str, str] = {
+    "dialect_scores_of_feeds": f"WITH {_DIALECT_SCORES} SELECT feed, dialect, round(1000 * score, 3) AS score FROM scores",
+    "dialect_of_feeds": f"""WITH {_DIALECT_SCORES},
+        best AS (SELECT feed, arg_max(dialect, (score, -(dialect // 2), dialect % 2)) AS d FROM scores GROUP BY feed),
+        used AS (
+            SELECT f.feed, f.value, b.d, CASE WHEN b.d % 2 = 1 THEN replace(regexp_replace(value, '"[^"]*"', 'q', 'g'), '"', '') ELSE value END AS t,
+                [',', '|', ';', chr(9)][b.d // 2 + 1] AS sign FROM feeds f JOIN best b ON f.feed = b.feed)
+        SELECT feed, sign AS delimiter, d % 2 = 1 AS quoted, count(*) AS lines FROM used
+        WHERE trim(string_split(t, sign)[3]) <> '' GROUP BY ALL""",
     "arl_pel_mapping": f"WITH {_MAPPING} SELECT arl, pel FROM mapping",
     "arl_pel_rejects": f"WITH {_RECORD_REJECTS} SELECT value, reason FROM rejects",
     "arl_pel_load": _ARL_CELLS,
@@ -219,6 +256,14 @@ ORACLES: dict[str, str] = {
     "identity_unpivot": f"""WITH {_RECORDS}
         SELECT hash_type, length(hash)::INT AS hash_length, count(*) AS claims FROM claims GROUP BY ALL""",
     "owner_of_hash": f"WITH {_OWNERS} SELECT hash, clink, hash_type FROM owners",
+    "owner_over_loads": f"WITH {_OWNERS} SELECT hash, clink, hash_type FROM owners",
+    "owner_changes": f"""WITH {_LOAD_OWNERS}
+        SELECT a.hash, a.clink, a.hash_type, b.clink AS before FROM after a LEFT JOIN before b ON a.hash = b.hash
+        WHERE b.hash IS NULL OR (a.clink, a.hash_type) <> (b.clink, b.hash_type)""",
+    "counters_over_loads": f"""WITH {_RECORDS}
+        SELECT {_FAULT} AS reason, count(*) AS n, true AS near FROM claims WHERE hash IS NOT NULL GROUP BY ALL""",
+    "observed_counters": f"""WITH {_RECORDS}
+        SELECT 'lines' AS counter, count(*) AS n FROM records UNION ALL SELECT 'width', count(*) FROM records WHERE len(f) < 4""",
     "mappings_per_pel": f"WITH {_MAPPING} SELECT pel, count(*) AS mappings FROM mapping GROUP BY pel",
     "hash_check_counters": f"""WITH {_RECORD_REJECTS}
         SELECT reason, count(*) AS n FROM rejects GROUP BY reason
@@ -345,6 +390,9 @@ ORACLES: dict[str, str] = {
         SELECT 1::BIGINT AS files, count(*) AS lines, count(DISTINCT (w[1], w[2])) AS different FROM words WHERE kind = 'email' AND len(w) = 2""",
     "compressed_text_scan": _lines("identity_lines"),
     "binary_file_scan": _lines("identity_lines"),
+    "recent_pels_by_day": """SELECT DISTINCT 'Xi' || md5(c_name) AS pel
+        FROM orders JOIN customer ON o_custkey = c_custkey
+        WHERE c_nationkey = 3 AND o_orderdate >= (SELECT max(o_orderdate) FROM orders) - INTERVAL 90 DAY""",
     "recent_pels_of_country": """SELECT DISTINCT 'Xi' || md5(c_name) AS pel
         FROM orders JOIN customer ON o_custkey = c_custkey
         WHERE c_nationkey = 3 AND o_orderdate >= (SELECT max(o_orderdate) FROM orders) - INTERVAL 90 DAY""",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.feeds import ACCOUNT, REGION, SALT, feed_sql, tables_of
@@ -28,8 +28,9 @@ from kinloom.operators.cells import (
     scan_prefix,
     to_cells,
 )
+from kinloom.operators.counters import STANDARD_ERROR, load_counters, merged_counters, observed
 from kinloom.operators.expansion import cells_of, look_up, pairs_of, save_expansion
-from kinloom.operators.owners import owner_per_hash
+from kinloom.operators.owners import merge_load, merge_ranks, owner_per_hash, owner_ranks, owners_of
 from kinloom.operators.parse import (
     parse_account_lines,
     parse_columns,
@@ -54,6 +55,7 @@ from kinloom.plans.column_encryption import (
 )
 from kinloom.plans.file_decryption import decrypt_blocks, decrypt_files, read_blocks, split_lines
 from kinloom.plans.hash_mapping import build_arl_pel_mapping, load_arl_pel, mapping_lines
+from kinloom.plans.last_seen import merge_sightings, open_seen, save_seen, seen_lately
 from kinloom.plans.match_table import (
     load_match_table_by_length,
     load_match_table_join,
@@ -66,7 +68,7 @@ from kinloom.plans.two_way import load_two_way
 from kinloom.session import scratch_dir, staged
 from kinloom.sources.buckets import open_buckets
 from kinloom.sources.framed import read_framed, write_framed
-from kinloom.sources.lines import read_files, read_lines
+from kinloom.sources.lines import dialect_scores, infer_dialect, read_files, read_lines
 from kinloom.sources.sinks import write_lines
 from kinloom.sources.snapshots import append_snapshot, open_snapshot, publish_snapshot
 
@@ -156,6 +158,59 @@ def owner_of_hash(spark, sf):
     return owner_per_hash(valid_hashes(rows))
 
 
+def _two_loads(spark, sf):
+    """The claims of about half of the records, and of the others."""
+    lines = feed(spark, sf, "identity_lines")
+    first = F.substring(F.md5("value"), 1, 1) < "8"
+    return [parse_identity_records(lines.where(part)).rows for part in (first, ~first)]
+
+
+def _owner_loads(spark, sf):
+    """The state after the first load, and what the second one changes."""
+    first, second = map(valid_hashes, _two_loads(spark, sf))
+    ranks = staged(owner_ranks(first), "ranks")
+    return ranks, merge_load(ranks, second).changed
+
+
+@query
+def owner_over_loads(spark, sf):
+    """Owners after two loads, from the stored state and the changes of the second."""
+    ranks, changed = _owner_loads(spark, sf)
+    return owners_of(merge_ranks(ranks, changed.select("hash", "rank")))
+
+
+@query
+def owner_changes(spark, sf):
+    """Hashes whose owner the second load changes, with the owner before."""
+    _, changed = _owner_loads(spark, sf)
+    return changed.select("hash", "rank.clink", "rank.hash_type", "before")
+
+
+@query
+def counters_over_loads(spark, sf):
+    """Records and different hashes of two loads by fault: exact numbers, and whether the united sketches are near."""
+    loads = _two_loads(spark, sf)
+    stored = staged(load_counters(loads[0], "1").unionByName(load_counters(loads[1], "2")), "counters")
+    both = loads[0].unionByName(loads[1]).where(F.col("hash").isNotNull())
+    reason = F.coalesce(hash_fault(F.col("hash")), F.lit("success")).alias("reason")
+    exact = both.groupBy(reason).agg(F.count_distinct("hash").alias("exact"))
+    off = F.abs(F.col("distinct_hashes") - F.col("exact"))
+    return (
+        merged_counters(stored)
+        .join(exact, "reason")
+        .select("reason", "n", (off <= 4 * STANDARD_ERROR * F.col("exact")).alias("near"))
+    )
+
+
+@query
+def observed_counters(spark, sf):
+    """Lines and rejects by reason, counted by the job that wrote the claims."""
+    seen = Observation("identity_lines")
+    rows = parse_identity_records(feed(spark, sf, "identity_lines"), observation=seen).rows
+    staged(rows, "claims")
+    return observed(seen, rows)
+
+
 @query
 def mappings_per_pel(spark, sf):
     return _mapping(spark, sf).mapping.groupBy("pel").agg(F.count("*").alias("mappings"))
@@ -572,6 +627,48 @@ def account_parse_semicolons(spark, sf):
     return parse_account_lines(lines, cid_key="CID").rows
 
 
+def _dialect_feeds(spark, sf):
+    """Feeds of several dialects made of the given rows."""
+    kb = feed(spark, sf, "kb_lines")
+    orders = table(spark, sf, "orders")
+    notes = F.repeat(F.lit("a, b, c; "), (F.col("o_orderkey") % 7).cast("int"))
+    values = {
+        "pipes": F.col("value"),
+        "tabs": F.replace(F.replace("value", F.lit('"'), F.lit("")), F.lit("|"), F.lit("\t")),
+        "semicolons": F.replace("value", F.lit("|"), F.lit(";")),
+    }
+    feeds = {name: kb.select(value.alias("value")) for name, value in values.items()}
+    # The commonest sign is a comma: within quotes, and in notes of uneven length.
+    quoted = F.concat(F.lit('"'), notes, F.lit('x",'), "o_orderstatus", F.lit(","), F.col("o_custkey").cast("string"))
+    feeds["quoted_commas"] = orders.select(quoted.alias("value"))
+    feeds["uneven_commas"] = orders.select(F.concat_ws("|", F.col("o_orderkey").cast("string"), notes, "o_orderstatus").alias("value"))
+    return feeds
+
+
+@query
+def dialect_scores_of_feeds(spark, sf):
+    """How well each dialect fits each of five feeds, in parts per thousand."""
+    out = None
+    for name, lines in _dialect_feeds(spark, sf).items():
+        scores = dialect_scores(lines).select(F.lit(name).alias("feed"), "dialect", F.round(1000 * F.col("score"), 3).alias("score"))
+        out = scores if out is None else out.unionByName(scores)
+    return out
+
+
+@query
+def dialect_of_feeds(spark, sf):
+    """The dialect chosen for each feed, and the lines that three fields or four come of when it is used."""
+    out = None
+    for name, lines in _dialect_feeds(spark, sf).items():
+        found = infer_dialect(lines)
+        parsed = parse_columns(lines, {"a": 0, "c": 2}, required=("c",), delimiter=found.delimiter, quoted=found.quoted)
+        row = parsed.rows.agg(
+            F.lit(name).alias("feed"), F.lit(found.delimiter).alias("delimiter"), F.lit(found.quoted).alias("quoted"), F.count("*").alias("lines")
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 # Identifiers
 
 
@@ -766,9 +863,8 @@ def binary_file_scan(spark, sf):
     return files.select(F.explode(split_lines(F.col("content").cast("string"))).alias("value"))
 
 
-@query
-def recent_pels_of_country(spark, sf):
-    """Ids of customers in nation 3 ordering in the 90 days before the last order."""
+def _sightings(spark, sf):
+    """Orders as sightings of their customers' ids, and the time of the last one."""
     orders = table(spark, sf, "orders")
     customer = table(spark, sf, "customer")
     sightings = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
@@ -776,5 +872,26 @@ def recent_pels_of_country(spark, sf):
         F.col("o_orderdate").alias("ts"),
         F.concat(F.lit("Xi"), F.md5("c_name")).alias("pel"),
     )
-    as_of = orders.agg(F.max("o_orderdate")).scalar()
+    return sightings, orders.agg(F.max("o_orderdate")).scalar()
+
+
+@query
+def recent_pels_of_country(spark, sf):
+    """Ids of customers in nation 3 ordering in the 90 days before the last order."""
+    sightings, as_of = _sightings(spark, sf)
     return recent_pels(sightings, country="3", as_of=as_of)
+
+
+@query
+def recent_pels_by_day(spark, sf):
+    """The same from a table of last sightings that was brought forward in five steps, one of many days, then by days."""
+    sightings, as_of = _sightings(spark, sf)
+    root, seen, before = scratch_dir(spark, "seen"), None, None
+    for back in (100, 60, 2, 1, 0):
+        end = as_of - F.make_dt_interval(F.lit(back))
+        part = sightings.where(F.col("ts") <= end)
+        if before is not None:
+            part = part.where(F.col("ts") > before)
+        seen = open_seen(spark, save_seen(merge_sightings(seen, part, as_of=end), root))
+        before = end
+    return seen_lately(seen, country="3", as_of=as_of)
