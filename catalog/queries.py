@@ -806,14 +806,14 @@ def decrypted_file_lines(spark, sf):
 
 @query
 def decrypt_framed_lines(spark, sf):
-    """Each source's texts, empty ones too, as sealed blocks of binary files; a file is opened by many tasks."""
+    """Each source's texts, empty ones too, as sealed blocks of binary files, opened by many tasks into a table of lines."""
     text = F.coalesce("text", F.lit("")).cast("binary")
     blocks = spread(table(spark, sf, "documents")).select(
         "source", F.col("doc_id").alias("block_no"), F.aes_encrypt(text, F.lit(KEY)).alias("content")
     )
     path = scratch_dir(spark, "framed")
     write_framed(blocks, path, by=("source",))
-    return decrypt_blocks(read_framed(spark, path, name="source"), key=KEY).lines
+    return staged(decrypt_blocks(read_framed(spark, path, name="source"), key=KEY).lines, "opened")
 
 
 @query
