@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 import pandas as pd
@@ -14,9 +15,7 @@ from pyspark.sql.window import Window
 from kinloom.session import staged
 from kinloom.llm.vectors import SQL, finite, matrix
 
-HIT = T.StructType([T.StructField(n, T.LongType()) for n in ("query_id", "vec_id", "score")])
-#: Scaled components of this size or more take no part: sums of products must fit a long.
-LIMIT = 1 << 27
+HIT = T.StructType([T.StructField(n, T.LongType()) for n in ("query_row", "query_id", "vec_id", "score")])
 #: Lower than any score.
 NONE = -(1 << 62)
 
@@ -28,7 +27,7 @@ class KDTree:
     a heap: those below node i are 2i+1 and 2i+2.
     """
 
-    def __init__(self, ids: np.ndarray, rows: np.ndarray, leaf: int = 128):
+    def __init__(self, ids: np.ndarray, keys: np.ndarray, rows: np.ndarray, leaf: int = 128):
         # Doubles are exact (and faster) while all sums stay below 2**53.
         self.exact = float(np.abs(rows).max(initial=0)) ** 2 * rows.shape[1] < 1 << 50
         depth = max(0, int(np.ceil(np.log2(max(1, len(rows)) / leaf))))
@@ -50,18 +49,20 @@ class KDTree:
                 if rows.shape[1]:
                     order[a:b] = order[a:b][np.argpartition(own[:, axis], middle)]
                 self.ranges[2 * node + 1], self.ranges[2 * node + 2] = (a, a + middle), (a + middle, b)
-        self.ids, self.rows = ids[order], rows[order].astype(np.float64 if self.exact else np.int64)
+        self.ids, self.keys, self.rows = ids[order], keys[order], rows[order].astype(np.float64 if self.exact else np.int64)
 
     def bounds(self, queries: np.ndarray) -> np.ndarray:
         """The greatest inner product each query can have with anything in each node's box."""
         most = np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
-        return most + np.abs(most) * 1e-9 + 1  # above all rounding
+        # Above all rounding, which hangs on the terms and not on what is left of them.
+        terms = np.abs(queries) @ np.maximum(np.abs(self.high), np.abs(self.low)).T
+        return most + terms * (queries.shape[1] + 2) * 2.0**-52 + 1
 
     def search(self, bounds: np.ndarray, query: np.ndarray, own: int, k: int, least: int) -> tuple[np.ndarray, np.ndarray]:
         """Best first: ids and scores of the k best rows that score ``least`` or more.
 
         Ends at a node whose bound is below the kth score. A node that can only tie is
-        still opened, because a tie goes to the smaller id.
+        still opened, because a tie goes to the smaller id. ``own`` is the query's own row.
         """
         queue, ids, scores = [(-bounds[0], 0)], np.empty(0, np.int64), np.empty(0, np.int64)
         while queue:
@@ -75,7 +76,7 @@ class KDTree:
                 continue
             a, b = self.ranges[node]
             got = (self.rows[a:b] @ query).astype(np.int64)
-            new = (got >= least) & (self.ids[a:b] != own)
+            new = (got >= least) & (self.keys[a:b] != own)
             ids, scores = np.concatenate([ids, self.ids[a:b][new]]), np.concatenate([scores, got[new]])
             if len(ids) >= k:
                 best = np.lexsort((ids, -scores))[:k]
@@ -88,17 +89,17 @@ def _search(rows: pd.DataFrame, asked: pd.DataFrame, k: int) -> pd.DataFrame:
     found = []
     if len(rows) and len(asked):
         width = max(len(v) for v in (*rows["v"], *asked["q"]))
-        tree = KDTree(rows["vec_id"].to_numpy(np.int64), matrix(rows["v"], width).astype(np.int64))
+        tree = KDTree(rows["vec_id"].to_numpy(np.int64), rows["row"].to_numpy(np.int64), matrix(rows["v"], width).astype(np.int64))
         queries = matrix(asked["q"], width).astype(np.int64)
         tree.exact &= float(np.abs(queries).max(initial=0)) ** 2 * width < 1 << 50
         tree.rows = tree.rows.astype(np.float64 if tree.exact else np.int64)
         for at in range(0, len(queries), 512):
             bounds = tree.bounds(queries[at : at + 512])
             for i, one in enumerate(queries[at : at + 512], at):
-                own, least = int(asked["query_id"].iat[i]), int(asked["least"].iat[i])
+                own, least = int(asked["query_row"].iat[i]), int(asked["least"].iat[i])
                 one = one.astype(tree.rows.dtype)
                 ids, scores = tree.search(bounds[i - at], one, own, k, least)
-                found.append(pd.DataFrame({"query_id": own, "vec_id": ids, "score": scores}))
+                found.append(pd.DataFrame({"query_row": own, "query_id": asked["query_id"].iat[i], "vec_id": ids, "score": scores}))
     return pd.concat(found) if found else pd.DataFrame({f.name: np.empty(0, np.int64) for f in HIT})
 
 
@@ -110,9 +111,12 @@ def top_k(
     ``vectors`` has ``vec_id, embedding``; other columns may be used by ``is_query``
     alone. A component x counts as floor(scale * x); the score is the inner product of
     those integers, ties go to the smaller vec_id, and a query's own row is no answer.
-    Rows with a null id, a null vector, a component that is null or not finite, or one
-    of 2**27 or more when scaled take no part. Of rows that repeat a vec_id the least
-    vector counts. A shorter vector is filled up with zeros.
+    Rows with a null id, a null vector or a component that is null or not finite take no
+    part, nor do those of which a scaled component is so large that a sum of as many
+    products as the longest vector has might not fit a long (at 64 components, one of 268
+    million; a score must be a long). Rows that repeat a vec_id with another vector are
+    rows of their own, as queries and as answers; of equal rows one counts. A shorter
+    vector is filled up with zeros.
 
     Rows are dealt into shards of about ``shard_rows``, each with its KD-tree. A query
     first searches its own shard; the kth score it finds there goes with it to all other
@@ -120,35 +124,38 @@ def top_k(
     a task holds one shard and one block whatever the size of the table.
     """
     scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("long"))
-    small = F.forall("embedding", lambda x: F.abs(x.cast("double") * scale) < LIMIT)
-    good = vectors.where(F.col("vec_id").isNotNull() & finite(F.col("embedding")) & small)
+    good = vectors.where(F.col("vec_id").isNotNull() & finite(F.col("embedding")))
+    width = good.agg(F.max(F.size("embedding"))).first()[0] or 1
+    limit = math.isqrt((1 << 62) // width)
+    good = good.where(F.forall("embedding", lambda x: F.abs(x.cast("double") * scale) < limit))
     marked = good.select(F.col("vec_id").cast("long").alias("vec_id"), scaled.alias("v"), is_query.alias("asked"))
-    rows = staged(marked.groupBy("vec_id").agg(F.min("v").alias("v"), F.max("asked").alias("asked")), "vectors")
+    different = marked.groupBy("vec_id", "v").agg(F.max("asked").alias("asked"))
+    rows = staged(different.withColumn("row", F.monotonically_increasing_id()), "vectors")
     n, n_queries = rows.select(F.count("*"), F.count_if("asked")).first()
     shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-n_queries // block_rows))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int"))
 
     def first(r: pd.DataFrame) -> pd.DataFrame:
-        return _search(r, r[r["asked"]].rename(columns={"vec_id": "query_id", "v": "q"}).assign(least=NONE), k)
+        return _search(r, r[r["asked"]].rename(columns={"vec_id": "query_id", "row": "query_row", "v": "q"}).assign(least=NONE), k)
 
     def other(r: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         return _search(r, q, k)
 
     home = staged(rows.groupBy("shard").applyInPandas(first, HIT), "home")
     # A query that found fewer than k rows at home has no bound yet.
-    kth = home.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("least"))
-    asked = rows.where("asked").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.col("shard").alias("own"))
-    known = asked.join(kth, "query_id", "left").withColumn("least", F.coalesce("least", F.lit(NONE).cast("long")))
-    block = F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(blocks)).cast("int")
+    kth = home.groupBy("query_row").agg(F.when(F.count("*") >= k, F.min("score")).alias("least"))
+    asked = rows.where("asked").select(F.col("row").alias("query_row"), F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.col("shard").alias("own"))
+    known = asked.join(kth, "query_row", "left").withColumn("least", F.coalesce("least", F.lit(NONE).cast("long")))
+    block = F.pmod(F.xxhash64("query_row", F.lit(1)), F.lit(blocks)).cast("int")
     ask = known.withColumn("block", block).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    ask = ask.where("shard <> own").select("shard", "block", "query_id", "q", "least")
-    held = rows.select("shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "vec_id", "v")
+    ask = ask.where("shard <> own").select("shard", "block", "query_row", "query_id", "q", "least")
+    held = rows.select("shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "row", "vec_id", "v")
     others = (
         held.groupBy("shard", "block")
         .cogroup(ask.groupBy("shard", "block"))
         .applyInPandas(other, HIT)
     )
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
     best = home.union(others).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", "score")
 

@@ -15,7 +15,7 @@ from check import compare, connect
 from kinloom.llm import mixing, queries, secret_scan
 from kinloom.llm.components import connected
 from kinloom.llm.crf_quality import Chain, accepted, fit, line_features, quality_scores, train
-from kinloom.llm.kd_topk import top_k
+from kinloom.llm.kd_topk import KDTree, top_k
 from kinloom.llm.lattice_dedup import near_duplicates, nearest_e8
 from kinloom.llm.line_dedup import dedup_lines, without_repeats
 from kinloom.llm.packing import best_fit_packing, token_pieces
@@ -384,6 +384,26 @@ def test_top_k_of_odd_rows(spark):
     assert top_k(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_top_k_of_large_and_repeated_rows(spark):
+    """Large components count, and rows of one id with different vectors are rows of their own."""
+    rows = [(0, [1.0]), (1, [600000.0]), (2, [2.0]), (2, [3.0])]
+    got = top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0)
+    assert sorted(map(tuple, got.collect())) == [(0, 1, 1, 256 * 256 * 600000), (0, 2, 2, 196608), (0, 3, 2, 131072)]
+    got = top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 2)
+    assert sorted(map(tuple, got.where("rank < 3").select("query_id", "rank", "vec_id").collect())) == [(2, 1, 1), (2, 1, 1), (2, 2, 2), (2, 2, 2)]
+
+
+def test_bounds_are_above_all_products():
+    rng = np.random.default_rng(17)
+    for _ in range(300):
+        row = rng.integers(-(1 << 27), 1 << 27, (1, 64))
+        query = rng.integers(-(1 << 27), 1 << 27, 64)
+        query[63] = -sum(int(a) * int(b) for a, b in zip(query[:63], row[0])) // max(int(row[0][63]), 1)
+        query[63] = np.clip(query[63], -(1 << 27), 1 << 27)
+        tree = KDTree(np.array([1]), np.array([1]), row)
+        assert tree.bounds(query[None].astype(float))[0, 0] >= sum(int(a) * int(b) for a, b in zip(query, row[0]))
+
+
 # 8
 
 
