@@ -94,9 +94,8 @@ groups AS (
 listed AS (
     SELECT group_key, kind, hash, e AND p AS in_both
     FROM owned JOIN entries USING (id, hash) JOIN groups USING (id))"""
-_ASKED_BY_CUSTOMER = """SELECT CASE WHEN c_custkey % 2 = 0 THEN 'email' ELSE 'phone' END AS kind,
-    sha256(CASE WHEN c_custkey % 2 = 0 THEN 'e' || CAST(4 * c_custkey AS STRING) ELSE 'p' || CAST(6 * c_custkey AS STRING) END) AS hash
-    FROM customer"""
+_ASKED_BY_CUSTOMER = """SELECT 'email' AS kind, sha256('e' || CAST(4 * c_custkey AS STRING)) AS hash FROM customer
+    UNION ALL SELECT 'phone', sha256('p' || CAST(6 * c_custkey AS STRING)) FROM customer"""
 _ASKED = """SELECT DISTINCT 'email' AS kind, sha256('e' || CAST(s_suppkey - s_suppkey % 4 AS STRING)) AS hash FROM supplier
     UNION ALL SELECT DISTINCT 'phone', sha256('p' || CAST(s_suppkey - s_suppkey % 6 AS STRING)) FROM supplier"""
 
@@ -285,9 +284,15 @@ ORACLES: dict[str, str] = {
         SELECT group_key, kind, hash, 2000::BIGINT, CASE WHEN in_both THEN 'both' ELSE '' END FROM listed""",
     "pii_expansion_rejects": f"WITH {_PEOPLE} SELECT value, 'width' AS reason FROM words WHERE len(w) <> 2",
     "pii_expansion_lookup": f"""WITH {_PEOPLE}, {_GROUPS}, asked AS ({_ASKED_BY_CUSTOMER}),
-        reached AS (SELECT DISTINCT kind, hash, group_key FROM listed JOIN asked USING (kind, hash))
-        SELECT '{REGION}#' || kind || '#' || hash AS row_key, 'group' AS family, group_key AS qualifier, '' AS value FROM reached
-        UNION ALL SELECT group_key, kind, hash, CASE WHEN in_both THEN 'both' ELSE '' END FROM listed
+        reached AS (SELECT DISTINCT kind, hash, group_key FROM listed JOIN asked USING (kind, hash)),
+        sizes AS (SELECT group_key, count(*) AS n, count(*) FILTER (in_both) // 2 AS n_both FROM listed GROUP BY group_key),
+        same AS (SELECT r.kind, r.hash, r.group_key, sum(CASE WHEN l.kind = r.kind THEN 1 WHEN l.in_both THEN -1 ELSE 0 END)::BIGINT AS n_same
+                 FROM reached r JOIN listed l ON l.group_key = r.group_key AND lower(l.hash) = lower(r.hash)
+                 GROUP BY r.kind, r.hash, r.group_key)
+        SELECT '{REGION}#' || kind || '#' || hash AS row_key, 'group' AS family, group_key AS qualifier, '' AS value,
+            n - n_both - n_same AS n_links
+        FROM reached JOIN sizes USING (group_key) JOIN same USING (kind, hash, group_key)
+        UNION ALL SELECT group_key, kind, hash, CASE WHEN in_both THEN 'both' ELSE '' END, NULL FROM listed
         WHERE group_key IN (SELECT group_key FROM reached)""",
     "pii_expansion_pairs": f"""WITH {_PEOPLE}, asked AS ({_ASKED})
         {_pairs('owned', 'SELECT o.* FROM owned o JOIN (SELECT DISTINCT kind, hash FROM asked) USING (kind, hash)')}""",
