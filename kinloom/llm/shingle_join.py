@@ -1,6 +1,9 @@
-"""Texts whose sets of shingles are alike, found exactly by their rarest shingles.
+"""Texts whose sets of shingles are alike: SimHash first, then exactly by their rarest shingles.
 
-Of two sets with a Jaccard similarity of t or more, each with its shingles in one and the
+The fingerprints of the sets are searched by the vantage-point trees of ``simhash``, and what
+they bring together is verified on the whole sets. Fingerprints of texts that are alike may be
+far apart, so an exact search for the links between what is still in different groups
+follows. Of two sets with a Jaccard similarity of t or more, each with its shingles in one and the
 same order, the first ``n - ceil(t * n) + 1`` shingles have one in common. Only those
 become keys, rare ones first, and what meets under a key is verified on the whole sets.
 """
@@ -17,6 +20,7 @@ from pyspark.sql.window import Window
 
 from kinloom.llm.common import texts
 from kinloom.llm.components import connected
+from kinloom.llm.simhash import CHUNK, bit_counts, of_counts, verified_groups
 from kinloom.session import staged
 
 NEAR = 1e-9  # rounding of the similarity
@@ -45,6 +49,14 @@ def name_of(found: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(found.tobytes(), 7)).view(np.int64))
 
 
+def set_fingerprint(found: np.ndarray) -> int:
+    """The 64-bit SimHash of a set of shingles, as ``simhash.fingerprint`` has it for a list; 0 for none."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(found), CHUNK):
+        counts += bit_counts(found[at : at + CHUNK])
+    return of_counts(counts, len(found))
+
+
 def common_shingles(docs: DataFrame, words: int, sample_rows: int = 4_096, most: int = 1 << 16) -> np.ndarray:
     """The shingles that most of a sample of rows have, the most common last; they only set the order of keys."""
     share = max(1, docs.count() // sample_rows)
@@ -74,12 +86,13 @@ def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     return both >= similarity * (len(a) + len(b) - both) - NEAR
 
 
-def shingle_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, direct: int = 1_000_000) -> DataFrame:
+def shingle_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, direct: int = 1_000_000, bits: int = 4) -> DataFrame:
     """``doc_id, component_id``: texts with that Jaccard similarity of shingles or more link, links chain.
 
     ``component_id`` is the smallest doc_id that can be reached, as in ``simhash_groups``;
     texts without words are alike. No pair is lost and none is linked unverified, up to
-    equal 64-bit hashes. Stars come first where there are more than ``direct`` pairs and 8
+    equal 64-bit hashes. Fingerprints within ``bits`` bits give the first candidates, and only
+    what these leave in different groups is searched by keys. There stars come first where there are more than ``direct`` pairs and 8
     for each member of a key: every text goes under one of its keys, another one in each
     round, and is held against one text of those under it. So a large group of near copies
     costs a row for each of them in a round and not one for each of their keys. What is
@@ -98,12 +111,18 @@ def shingle_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, dir
                 "t": batch["t"],
                 "node": np.array([name_of(s) for s in sets], np.int64),
                 "size": np.array([len(s) for s in sets], np.int64),
+                "fp": np.array([set_fingerprint(s) for s in sets], np.uint64).view(np.int64),
                 "keys": [first_shingles(s, similarity, *order.value).view(np.int64) for s in sets],
             })
 
     keyed = texts(docs).withColumn("t", F.xxhash64("text"))
-    found = staged(keyed.mapInPandas(scan, "doc_id long, t long, node long, size long, keys array<long>"), "shingles")
-    points = found.groupBy("node").agg(F.min("doc_id").alias("least"), F.max(F.struct("doc_id", "t")).alias("row"))
+    found = staged(keyed.mapInPandas(scan, "doc_id long, t long, node long, size long, fp long, keys array<long>"), "shingles")
+    points = found.groupBy("node").agg(
+        F.min("doc_id").alias("least"),
+        F.max(F.struct("doc_id", "t")).alias("row"),
+        F.first("size").cast("int").alias("size"),
+        F.first("fp").alias("fp"),
+    )
     points = staged(points, "points")
     one = found.dropDuplicates(["node"]).select("node", F.col("size").cast("int").alias("size"), F.explode("keys").alias("key"))
     under = Window.partitionBy("key")
@@ -142,12 +161,14 @@ def shingle_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, dir
     def sized(size, size2):
         return F.least(size, size2) >= similarity * F.greatest(size, size2) - NEAR
 
-    links, labels, held = None, None, None
+    def of_fingerprints(met: DataFrame) -> DataFrame:
+        return verified(met.where(sized(F.col("size"), F.col("size2"))), stars=True)
+
+    links, labels = verified_groups(points.select("node", "size", "fp"), of_fingerprints, bits)
+    held = staged(rows.groupBy("node", "size").agg(F.collect_list("key").alias("keys")), "held")
     for seed in range(8):
-        own = rows.withColumn("label", F.col("node"))
-        if labels is not None:
-            known = held.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-            own = known.select("node", "size", "label", F.explode("keys").alias("key"))
+        known = held.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        own = known.select("node", "size", "label", F.explode("keys").alias("key"))
         # Pairs of members of different groups under a key, each of them once.
         per = own.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key")
         per = per.agg((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("open")).where("open > 0")
@@ -155,15 +176,13 @@ def shingle_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, dir
         left, members = per.agg(F.sum(F.col("open").cast("double"))).first()[0] or 0.0, open_.count()
         if left <= max(8 * members, direct):
             break
-        if held is None:
-            held = staged(rows.groupBy("node", "size").agg(F.collect_list("key").alias("keys")), "held")
         one_key = F.min_by("key", F.xxhash64("key", F.lit(seed))).alias("key")
         picked = staged(open_.groupBy("node", "size", "label").agg(one_key), "picked")
         star = picked.groupBy("key").agg(F.min_by(F.struct("node", "size", "label"), F.xxhash64("node", F.lit(seed))).alias("m"))
         pairs = picked.join(star, "key").where((F.col("label") != F.col("m.label")) & sized(F.col("size"), F.col("m.size")))
         pairs = pairs.select(F.col("node").alias("a"), F.col("m.node").alias("b"), "size", F.col("m.size").alias("size2"))
         new = staged(verified(pairs, stars=True), "stars")
-        links = new if links is None else links.unionByName(new)
+        links = links.unionByName(new)
         labels = staged(connected(links), "labels")
     a, b = open_.alias("a"), open_.alias("b")
     unlike = (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label"))
@@ -171,9 +190,9 @@ def shingle_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, dir
     rest = a.join(b, (F.col("a.key") == F.col("b.key")) & unlike & fits)
     rest = rest.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.size").alias("size"), F.col("b.size").alias("size2"))
     new = verified(rest)
-    labels = connected(new if links is None else links.unionByName(new))
+    labels = connected(links.unionByName(new))
 
-    joined = points.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    joined = points.select("node", "least").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     joined = staged(joined.select("node", "least", "label"), "labels")
     least = joined.groupBy("label").agg(F.min("least").alias("component_id"))
     return found.select("doc_id", "node").join(joined.join(least, "label").select("node", "component_id"), "node").select("doc_id", "component_id")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,8 +31,16 @@ def fingerprint(text: str, words: int = 4) -> int:
     starts, ends = starts[:n].tolist(), ends[-n:].tolist()
     one, counts = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
     for at in range(0, n, CHUNK):
-        hashes = np.fromiter((one(joined[s:e], 42) for s, e in zip(starts[at : at + CHUNK], ends[at : at + CHUNK])), np.uint64)
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        counts += bit_counts(np.fromiter((one(joined[s:e], 42) for s, e in zip(starts[at : at + CHUNK], ends[at : at + CHUNK])), np.uint64))
+    return of_counts(counts, n)
+
+
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """In how many of ``hashes`` each bit is set."""
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+
+
+def of_counts(counts: np.ndarray, n: int) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view(np.uint64)[0])
 
 
@@ -189,6 +197,27 @@ def fingerprint_links(points: DataFrame, bits: int = 4, shard_rows: int = 16_384
     return routed.groupBy("shard").applyInPandas(search, "a long, b long")
 
 
+def fingerprint_pairs(points: DataFrame, bits: int = 4) -> DataFrame:
+    """``a, b, size, size2``: the candidates that fingerprints give, for ``points (node, size, fp)``.
+
+    Every link of ``fingerprint_links`` joins two fingerprints, the first set of each, and
+    every other set of a fingerprint is held against the first: a row for each link and set.
+    """
+    point = F.struct("node", "size")
+    first = staged(points.groupBy("fp").agg(F.min(point).alias("m")), "firsts")
+    links = fingerprint_links(first.select("fp"), bits).distinct()
+    far = links.join(first.toDF("a", "p"), "a").join(first.toDF("b", "q"), "b").select("p", "q")
+    same = points.join(first, "fp").select(point.alias("p"), F.col("m").alias("q")).where("p.node <> q.node")
+    both = far.unionByName(same).where("p.node <> q.node")
+    return both.select(F.col("p.node").alias("a"), F.col("q.node").alias("b"), F.col("p.size").alias("size"), F.col("q.size").alias("size2"))
+
+
+def verified_groups(points: DataFrame, verified: Callable[[DataFrame], DataFrame], bits: int = 4) -> tuple[DataFrame, DataFrame]:
+    """Links ``a, b`` that ``verified`` leaves of the ``fingerprint_pairs``, and ``node, label`` of their components."""
+    links = staged(verified(fingerprint_pairs(points, bits)), "simhash")
+    return links, staged(connected(links), "labels")
+
+
 def simhash_groups(docs: DataFrame, words: int = 4, bits: int = 4) -> DataFrame:
     """``doc_id, fp, component_id``: fingerprints within ``bits`` bits link, links chain.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 import numpy as np
 import pytest
-from kinloom.llm import shingle_join
+from kinloom.llm import shingle_join, simhash
 from kinloom.llm.common import documents
 from kinloom.session import staged
 
@@ -91,6 +91,40 @@ def test_groups_with_and_without_stars(spark, make_docs, direct, monkeypatch):
     assert (len(rounds) > 1) == (direct == 0)
 
 
+def test_fingerprints_come_first(spark, make_docs, monkeypatch):
+    """Vantage-point trees give candidates; those that are alike link, and keys find the links they miss."""
+    calls, met, links = [], [], simhash.fingerprint_links
+    monkeypatch.setattr(simhash, "fingerprint_links", lambda points, bits: calls.append(bits) or links(points, bits))
+    pairs = simhash.fingerprint_pairs
+    monkeypatch.setattr(simhash, "fingerprint_pairs", lambda points, bits: met.append(points) or pairs(points, bits))
+    rng = np.random.default_rng(14)
+    rows = []
+    for _ in range(20):
+        words = [f"w{i}" for i in rng.integers(0, 5000, 300)]
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join([*words[:-1], "end"])), (len(rows) + 2, " ".join([*words[:-24], *(f"y{i}" for i in rng.integers(0, 5000, 24))]))]
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, make_docs(rows), SF).collect()}
+    assert kept == plain_kept(rows) and calls == [4] and len(met) == 1
+    points = [(r.node, r.size, r.fp) for r in met[0].collect()]
+    node = {i: shingle_join.name_of(shingle_join.shingles(t)) for i, t in rows}
+    assert {n for n, _, _ in points} == set(node.values())
+    fp = {n: f for n, _, f in points}
+    bits = {i: (fp[node[i]] ^ fp[node[j]]) & (1 << 64) - 1 for i in range(0, 60, 3) for j in (i + 1,)}
+    label = {n: n for n in node.values()}
+    for r in pairs(met[0], 4).collect():
+        old, new = label[r.a], label[r.b]
+        label = {n: new if v == old else v for n, v in label.items()}
+    close = [i for i, x in bits.items() if x.bit_count() <= 4]
+    assert close and all(label[node[i]] == label[node[i + 1]] for i in close)
+    assert any(label[node[i]] != label[node[i + 2]] for i in range(0, 60, 3))
+
+
+def test_fingerprint_of_a_set():
+    found = shingle_join.shingles("a b c d e f g")
+    counts = [sum(int(s) >> b & 1 for s in found) for b in range(64)]
+    assert shingle_join.set_fingerprint(found) == sum(1 << b for b in range(64) if 2 * counts[b] > len(found))
+    assert shingle_join.set_fingerprint(found[:0]) == 0
+
+
 def test_near_duplicates_of_odd_rows(spark, make_docs):
     kept = corpus_pipeline.near_duplicates(spark, make_docs(ODD), SF)
     assert kept.columns == make_docs(ODD).columns
