@@ -25,7 +25,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: five-word shingles with a similarity of 0.8 or more link."""
+    """One document of each group stays: five-word shingles with a similarity of 0.8 or more link, SimHash first."""
     return keep_one_alike(docs)
 
 
