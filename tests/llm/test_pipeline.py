@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import corpus_pipeline
 import numpy as np
 import pytest
@@ -118,6 +120,32 @@ def test_fingerprints_come_first(spark, make_docs, monkeypatch):
     assert any(label[node[i]] != label[node[i + 2]] for i in range(0, 60, 3))
 
 
+def test_keys_of_the_same_texts_are_one(spark):
+    """The shingles of a passage that the same texts share make their pairs once, with their number."""
+    held = {1: (7, 8, 9), 2: (7, 8, 9), 3: (9, 8, 7), 4: (7, 8), 5: (8, 9), 6: (7, 8)}
+    rows = spark.createDataFrame([(k, n, 10 * n) for k, nodes in held.items() for n in nodes], "key long, node long, size int")
+    got = sorted(map(tuple, shingle_join.distinct_keys(rows).collect()))
+    assert got == sorted([(1, n, 10 * n, 3) for n in (7, 8, 9)] + [(4, n, 10 * n, 2) for n in (7, 8)] + [(5, n, 10 * n, 1) for n in (8, 9)])
+
+
+@pytest.mark.parametrize("direct", [0, 1_000_000])
+def test_near_duplicates_leave_only_what_the_result_reads(spark, make_docs, direct, monkeypatch):
+    """Tables of the steps go with them; stars of unlike texts that share a passage are not verified."""
+    counted, f = [], shingle_join.staged
+    monkeypatch.setattr(shingle_join, "staged", lambda df, label, **o: counted.append((label, (out := f(df, label, **o)).count())) or out)
+    passage = [f"p{i}" for i in range(60)]
+    texts = [" ".join([*passage[: 50 + i % 8], *(f"t{i}-{j}" for j in range(8))]) for i in range(40)]
+    texts += [f"{text} end" for text in texts[:5]]
+    root = f"{spark.conf.get('spark.checkpoint.dir').removeprefix('file://')}/kinloom"
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    groups = shingle_join.shingle_groups(make_docs(list(enumerate(texts))), direct=direct)
+    left = sorted(name.split("-")[0] for name in set(os.listdir(root)) - before)
+    assert left == ["labels", "points", "shingles"]
+    got = {r.doc_id: r.component_id for r in groups.collect()}
+    assert {i for i, c in got.items() if i == c} == plain_kept(list(enumerate(texts)))
+    assert ("stars" in dict(counted)) == (direct == 0)
+
+
 def test_fingerprint_of_a_set():
     found = shingle_join.shingles("a b c d e f g")
     counts = [sum(int(s) >> b & 1 for s in found) for b in range(64)]
